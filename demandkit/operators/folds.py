@@ -20,6 +20,27 @@ def _block(position: Column, n: Column, n_splits: int) -> Column:
     return F.when(position < first_test, F.lit(0)).otherwise(block).cast("int")
 
 
+def fold_cuts(df: DataFrame, ts: str, n_splits: int, extra: Sequence[Column] = ()) -> DataFrame:
+    """One row: the first date of every validation block, as ``cuts``, and ``extra`` aggregates.
+
+    The set of distinct dates is bounded by the calendar.
+    """
+    if not isinstance(df.schema[ts].dataType, DateType):
+        raise TypeError("time folds are cut between days; cast the time column to date")
+    days = df.agg(F.array_sort(F.collect_set(ts)).alias("_days"), *extra)
+    n = F.size("_days")
+    size = F.floor(n / (n_splits + 1))
+    cuts = [F.get("_days", (n - (n_splits - i) * size).cast("int")) for i in range(n_splits)]
+    enough = F.assert_true(size > 0, F.lit("fewer dates than folds"))
+    return days.withColumn("cuts", F.when(enough.isNull(), F.array(*cuts))).drop("_days")
+
+
+def block_of(ts: Column, cuts: Column, n_splits: int) -> Column:
+    """Number of cut dates that a date has reached."""
+    reached = [(F.get(cuts, F.lit(i)) <= ts).cast("int") for i in range(n_splits)]
+    return sum(reached[1:], reached[0])
+
+
 def time_folds(df: DataFrame, ts: str, n_splits: int = 5, name: str = "block") -> DataFrame:
     """Expanding folds over the distinct dates of all series together.
 
@@ -27,16 +48,8 @@ def time_folds(df: DataFrame, ts: str, n_splits: int = 5, name: str = "block") -
     one row per date this is the positional expanding split. The cut dates reach the rows
     as a constant, so assigning blocks needs no join and no shuffle.
     """
-    if not isinstance(df.schema[ts].dataType, DateType):
-        raise TypeError("time folds are cut between days; cast the time column to date")
-    days = df.agg(F.array_sort(F.collect_set(ts)).alias("days")).select(
-        "days", F.size("days").alias("n"), F.floor(F.size("days") / (n_splits + 1)).alias("size")
-    )
-    enough = F.assert_true(F.col("size") > 0, F.lit("fewer dates than folds"))
-    cut = [F.get("days", (F.col("n") - (n_splits - i) * F.col("size")).cast("int")) for i in range(n_splits)]
-    cuts = days.select(F.when(enough.isNull(), F.array(*cut)).alias("cuts"))
-    later = F.filter(cuts.scalar(), lambda day: day <= F.col(ts))
-    return df.withColumn(name, F.size(later).cast("int"))
+    cuts = fold_cuts(df, ts, n_splits).scalar()
+    return df.withColumn(name, block_of(F.col(ts), cuts, n_splits))
 
 
 def series_folds(df: DataFrame, series: Series, n_splits: int = 5, name: str = "block") -> DataFrame:

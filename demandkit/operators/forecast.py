@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from demandkit.functions.scalars import clip
-from demandkit.operators.joins import lookup_join
+from demandkit.operators.joins import lookup_join, one_row
 from demandkit.operators.series import Series, parse_feature, tail_buffer
 
 BUFFER = 10
@@ -58,7 +58,7 @@ def buffer_feature(name: str, buffer: Column) -> Column | None:
 def frozen_lags(history: DataFrame, future: DataFrame, series: Series, y: str, names: Sequence[str]) -> DataFrame:
     """Future rows with series features frozen at the end of the history."""
     features = {name: buffer_feature(name, F.col("buffer")) for name in names}
-    if None in features.values():
+    if any(c is None for c in features.values()):
         raise ValueError(f"not all of {list(names)} are series features")
     last = tail_buffer(history, series, y, BUFFER).select(
         *series.keys, *[c.alias(n) for n, c in features.items()]
@@ -72,7 +72,7 @@ def recursive_forecast(
     series: Series,
     y: str,
     features: Sequence[str],
-    predict: Callable[[Column], Column],
+    predict: Callable[[list[Column]], Column],
     models: DataFrame | None = None,
     low: Column | float | None = None,
     high: Column | float | None = None,
@@ -81,8 +81,8 @@ def recursive_forecast(
     """``keys, ts, prediction`` for every future row.
 
     ``features`` names, in model order, series features and columns of ``future``.
-    ``predict`` turns the feature array into a value; it may refer to the columns of
-    ``models``, which holds one row per series. Bounds apply inside the walk, because a
+    ``predict`` turns the feature values into one value; it may refer to the columns of
+    ``models``, which holds one row per series, or a single row for all. Bounds apply inside the walk, because a
     bounded prediction feeds the following lags. Only the last ``buffer_size`` rows of each
     history and the future rows are moved.
     """
@@ -96,7 +96,12 @@ def recursive_forecast(
     packed = future.groupBy(*keys).agg(ahead.alias("_ahead"))
     state = lookup_join(packed, tail_buffer(history, series, y, buffer_size, "_buffer"), keys)
     if models is not None:
-        state = lookup_join(state, models, keys, "inner")
+        shared = [c for c in keys if c not in models.columns]
+        if shared:
+            single = one_row(models)
+            state = state.withColumns({c: single[c] for c in models.columns})
+        else:
+            state = lookup_join(state, models, keys, "inner")
     start = F.struct(
         F.coalesce("_buffer", F.array().cast("array<double>")).alias("buffer"),
         F.array().cast("array<double>").alias("predictions"),
@@ -105,17 +110,17 @@ def recursive_forecast(
     def step(acc: Column, row: Column) -> Column:
         buffer = acc["buffer"]
         values = [row[f] if parse_feature(f) is None else buffer_feature(f, buffer) for f in features]
-        x = F.array(*[F.coalesce(v, F.lit(0.0)) for v in values])
-        bounded = clip(predict(x), low, high).cast("double")
-        # one-element array, so that the prediction is computed once and used twice
-        made = F.array(bounded)
-        return F.transform(
-            F.array(made),
-            lambda one: F.struct(
-                tail(F.concat(buffer, one), buffer_size).alias("buffer"),
-                F.concat(acc["predictions"], one).alias("predictions"),
-            ),
-        )[0]
+        value = predict([F.coalesce(v, F.lit(0.0)) for v in values])
+
+        def remember(made: Column) -> Column:
+            bounded = F.array(clip(made, low, high))
+            return F.struct(
+                tail(F.concat(buffer, bounded), buffer_size).alias("buffer"),
+                F.concat(acc["predictions"], bounded).alias("predictions"),
+            )
+
+        # a one-element array binds the prediction, so that it is computed once per step
+        return F.transform(F.array(value), remember)[0]
 
     walked = F.aggregate("_ahead", start, step, lambda acc: acc["predictions"])
     pairs = F.zip_with("_ahead", walked, lambda row, p: F.struct(row[series.ts].alias(series.ts), p.alias("prediction")))

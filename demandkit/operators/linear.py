@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from demandkit.operators.folds import time_folds
+from demandkit.operators.folds import block_of, fold_cuts
 from demandkit.operators.joins import lookup_join, one_row
 from demandkit.session import checkpointed
 
@@ -33,17 +33,21 @@ def _sum_names(features: Sequence[str]) -> list[str]:
     )
 
 
+def _constant(value: float | Column) -> Column:
+    return value if isinstance(value, Column) else F.lit(float(value))
+
+
 def cross_sums(
     df: DataFrame,
     features: Sequence[str],
     y: str,
     by: Sequence[str] = (),
-    origin: Mapping[str, float] | None = None,
+    origin: Mapping[str, float | Column] | None = None,
 ) -> DataFrame:
     """Product sums per group, taken around an origin to keep their digits.
 
-    The origin defaults to the overall means, one extra aggregate pass; pass a constant per
-    column to save it. Rows with a null feature or target are left out.
+    The origin defaults to the overall means, one extra aggregate pass; pass a number or a
+    scalar per column to save it. Rows with a null feature or target are left out.
     """
     columns = [*features, y]
     rows = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns]).dropna(subset=columns)
@@ -51,7 +55,7 @@ def cross_sums(
         center = one_row(rows.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in columns]))
         shift = {c: center[c] for c in columns}
     else:
-        shift = {c: F.lit(float(origin.get(c, 0.0))) for c in columns}
+        shift = {c: _constant(origin.get(c, 0.0)) for c in columns}
     moved = rows.select(
         *by,
         *[(F.col(c) - shift[c]).alias(f"_x{i}") for i, c in enumerate(features)],
@@ -161,32 +165,39 @@ def fit_linear(
     by: Sequence[str] = (),
     alpha: float = 0.0,
     standardise: bool = False,
-    origin: Mapping[str, float] | None = None,
+    origin: Mapping[str, float | Column] | None = None,
 ) -> DataFrame:
     """Least squares (``alpha=0``) or ridge, one model per group."""
     return solve(cross_sums(df, features, y, by, origin), features, by, (alpha,), standardise)
 
 
-def linear_value(intercept: Column, coef: Column, x: Column) -> Column:
-    """``intercept + coef · x`` over an array of features."""
-    return F.aggregate(F.zip_with(coef, x, lambda w, v: w * v), intercept, lambda s, t: s + t)
-
-
-def feature_array(features: Sequence[str]) -> Column:
-    return F.array(*[F.col(c).cast("double") for c in features])
+def linear_value(intercept: Column, coef: Column, xs: Sequence[Column]) -> Column:
+    """``intercept + coef · xs``, written out so that it stays in generated code."""
+    value = intercept
+    for i, x in enumerate(xs):
+        value = value + F.get(coef, F.lit(i)) * x
+    return value
 
 
 def score(
-    df: DataFrame, models: DataFrame, features: Sequence[str], by: Sequence[str] = (), name: str = "prediction"
+    df: DataFrame,
+    models: DataFrame,
+    features: Sequence[str],
+    by: Sequence[str] = (),
+    name: str = "prediction",
+    bounded: bool = False,
 ) -> DataFrame:
-    """Add predictions. A single model reaches the rows as a constant, grouped ones by a lookup."""
-    x = feature_array(features)
+    """Add predictions. A single model reaches the rows as a constant, grouped ones by a lookup.
+
+    ``bounded`` says the models are few by construction, such as one per fold.
+    """
+    xs = [F.col(c).cast("double") for c in features]
     if not by:
         model = one_row(models.select("intercept", "coef"))
-        return df.withColumn(name, linear_value(model["intercept"], model["coef"], x))
+        return df.withColumn(name, linear_value(model["intercept"], model["coef"], xs))
     lookup = models.select(*by, F.col("intercept").alias("_b"), F.col("coef").alias("_w"))
-    joined = lookup_join(df, lookup, by, "inner")
-    return joined.withColumn(name, linear_value(F.col("_b"), F.col("_w"), x)).drop("_b", "_w")
+    joined = lookup_join(df, lookup, by, "inner", bounded)
+    return joined.withColumn(name, linear_value(F.col("_b"), F.col("_w"), xs)).drop("_b", "_w")
 
 
 def coefficient_importance(models: DataFrame, features: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -212,6 +223,27 @@ def _squared_errors(pdf: pd.DataFrame, d: int, slopes: np.ndarray, intercepts: n
     return np.maximum(sse, 0.0)
 
 
+def _blocks_and_center(
+    df: DataFrame,
+    features: Sequence[str],
+    y: str,
+    ts: str,
+    n_splits: int,
+    origin: Mapping[str, float | Column] | None,
+) -> tuple[DataFrame, Mapping[str, float | Column]]:
+    """Rows with their time block, and the origin, both from one aggregate."""
+    columns = [] if origin is not None else [*features, y]
+    means = [
+        F.coalesce(F.avg(F.col(c).cast("double")), F.lit(0.0)).alias(f"mean_{i}")
+        for i, c in enumerate(columns)
+    ]
+    known = one_row(fold_cuts(df, ts, n_splits, means))
+    blocks = df.withColumn("block", block_of(F.col(ts), known["cuts"], n_splits))
+    if origin is None:
+        origin = {c: known[f"mean_{i}"] for i, c in enumerate(columns)}
+    return blocks, origin
+
+
 def cross_validate_linear(
     df: DataFrame,
     features: Sequence[str],
@@ -221,16 +253,18 @@ def cross_validate_linear(
     by: Sequence[str] = (),
     alphas: Sequence[float] = (0.0,),
     standardise: bool = False,
-    origin: Mapping[str, float] | None = None,
+    origin: Mapping[str, float | Column] | None = None,
 ) -> DataFrame:
     """RMSE per group, penalty and fold: ``by, alpha, fold, n, sse, rmse``.
 
-    One pass over the rows serves all folds and all penalties, scoring included.
+    One pass finds the cut dates and the means, a second one serves all folds and all
+    penalties, scoring included.
     """
     by, d = list(by), len(features)
-    blocks = time_folds(df.select(*dict.fromkeys([*by, ts, y, *features])), ts, n_splits)
+    needed = df.select(*dict.fromkeys([*by, ts, y, *features]))
+    blocks, center = _blocks_and_center(needed, features, y, ts, n_splits, origin)
     # read twice below, as training and as validation sums
-    sums = checkpointed(cross_sums(blocks, features, y, [*by, "block"], origin))
+    sums = checkpointed(cross_sums(blocks, features, y, [*by, "block"], center))
     train = expanding_sums(sums, features, n_splits, by)
     validation = sums.filter("block > 0").select(
         *by, F.col("block").alias("fold"), *_packed(sums, features, "v_")
@@ -262,11 +296,11 @@ def out_of_fold_linear(
     n_splits: int = 5,
     alpha: float = 0.0,
     standardise: bool = False,
-    origin: Mapping[str, float] | None = None,
+    origin: Mapping[str, float | Column] | None = None,
 ) -> DataFrame:
     """Validation rows of every fold with ``fold`` and ``prediction``."""
-    blocks = time_folds(df, ts, n_splits)
-    sums = cross_sums(blocks, features, y, ["block"], origin)
+    blocks, center = _blocks_and_center(df, features, y, ts, n_splits, origin)
+    sums = cross_sums(blocks, features, y, ["block"], center)
     models = solve(expanding_sums(sums, features, n_splits), features, ["fold"], (alpha,), standardise)
     rows = blocks.filter("block > 0").withColumnRenamed("block", "fold")
-    return score(rows, models, features, ["fold"])
+    return score(rows, models, features, ["fold"], bounded=True)
