@@ -15,9 +15,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-# Buckets per doubling of the value: a group's histogram stays in the low millions of rows
-# while a bucket holds a few millionths of its values.
-_BUCKETS_PER_OCTAVE = float(2**18)
+# Buckets per doubling of the value: a group's histogram stays below a few million rows
+# while a bucket holds about a hundred-thousandth of its values.
+_BUCKETS_PER_OCTAVE = float(2**16)
 # keeps log2 of the smallest positive double above zero
 _LOG_SHIFT = 1100.0
 

@@ -60,6 +60,8 @@ def with_trailing(
         w = series.window()
         return df.withColumns({name: make(w) for name, make in columns.items()})
 
+    if lookback >= stretch_rows:
+        raise ValueError("a stretch must be longer than the lookback")
     placed = with_position(df, series, "_pos")
     stretch = F.floor((F.col("_pos") - 1) / stretch_rows)
     # the last rows of a stretch are also needed, as context only, by the next one

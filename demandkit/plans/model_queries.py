@@ -169,20 +169,20 @@ def m11(spark, sf):
 def _compared(rows):
     """Trailing mean, least squares and ridge under the same folds."""
     blocks = folds.time_folds(rows, "ds").filter("block > 0").withColumnRenamed("block", "fold")
-    naive = evaluate.rmse(blocks, "y", "rolling_mean_5", ["fold"])
-    fitted = linear.cross_validate_linear(rows, _TWO, "y", "ds", alphas=(0.0, 1000.0))
-
-    def named(per_fold, name, listed):
-        return evaluate.fold_summary(per_fold).select(
-            F.lit(name).alias("model"), F.lit(listed).alias("listed"), "mean_rmse", "std_rmse"
-        )
-
-    results = (
-        named(naive, "trailing mean", 0)
-        .unionByName(named(fitted.filter("alpha = 0"), "least squares", 1))
-        .unionByName(named(fitted.filter("alpha > 0"), "ridge", 2))
+    naive = evaluate.fold_summary(evaluate.rmse(blocks, "y", "rolling_mean_5", ["fold"]))
+    fitted = evaluate.fold_summary(
+        linear.cross_validate_linear(rows, _TWO, "y", "ds", alphas=(0.0, 1000.0)), ["alpha"]
     )
-    return evaluate.compare_models(results, "trailing mean")
+    plain = F.col("alpha") == 0
+    results = fitted.select(
+        F.when(plain, "least squares").otherwise("ridge").alias("model"),
+        F.when(plain, 1).otherwise(2).alias("listed"),
+        "mean_rmse",
+        "std_rmse",
+    ).unionByName(
+        naive.select(F.lit("trailing mean").alias("model"), F.lit(0).alias("listed"), "mean_rmse", "std_rmse")
+    )
+    return evaluate.compare_models(checkpointed(results), "trailing mean")
 
 
 _COMPARE_SQL = f"""{_CV_SQL.format(alphas='0, 1000')},

@@ -45,7 +45,7 @@ _P = "PARTITION BY event_type ORDER BY ds"
 )
 def x2(spark, sf):
     """The closed days of the first stream feed a second one that keeps ten values per series."""
-    days = daily.read_stream(spark, _closed_days(spark, sf))
+    days = daily.read_closed_days(spark, _closed_days(spark, sf))
     out = daily.run_available(daily.feature_stream(days, "event_type", _STREAM_FEATURES), "features")
     made = spark.read.parquet(out)
     return made.select("event_type", day_text(), "y", *[rounded(c, c) for c in _STREAM_FEATURES])

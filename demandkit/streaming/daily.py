@@ -24,6 +24,15 @@ def read_stream(
     return reader.option("maxFilesPerTrigger", max_files).parquet(folder)
 
 
+def read_closed_days(spark: SparkSession, folder: str) -> DataFrame:
+    """The output of a daily demand stream as the next stream.
+
+    The sink commits whole batches, and a day is only in one of them. Without a file limit
+    every trigger takes whole batches too, so the days of a series never arrive out of order.
+    """
+    return spark.readStream.schema(spark.read.parquet(folder).schema).parquet(folder)
+
+
 def daily_demand_stream(
     events: DataFrame, ts: str, keys: Sequence[str], delay: str = "1 day", name: str = "y"
 ) -> DataFrame:
@@ -72,7 +81,7 @@ def feature_stream(
 ) -> DataFrame:
     """Each closed day with its series features; the state is the last few values per series.
 
-    Days have to arrive in order per series, as ``daily_demand_stream`` emits them.
+    Days have to arrive in order per series, as ``read_closed_days`` delivers them.
     """
     parsed = [(name, *parse_feature(name)) for name in features]
     size = max([buffer_size, *[n for _, _, n in parsed]])
