@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def sort_rows(df: DataFrame, column: str, ties: Sequence[str], descending: bool = False) -> DataFrame:
@@ -30,7 +30,12 @@ def order_by_list(df: DataFrame, column: str, order: Sequence) -> DataFrame:
 
 
 def best_row(df: DataFrame, metric: str, listed: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Row with the lowest metric per group; ties go to the one listed first."""
-    row = F.struct(*[c for c in df.columns if c not in keys])
-    best = df.groupBy(*keys).agg(F.min_by(row, F.struct(metric, listed)).alias("_best"))
-    return best.select(*keys, "_best.*")
+    """Row with the lowest metric per group; ties go to the one listed first.
+
+    Either form keeps one row per group and task before anything is shuffled.
+    """
+    order = [F.col(metric).asc_nulls_last(), F.col(listed).asc_nulls_last()]
+    if not keys:
+        return df.orderBy(*order).limit(1)
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_place", place).filter("_place = 1").drop("_place")

@@ -21,30 +21,26 @@ def fit_impute(
     """
     keys = list(keys)
     medians = [c for c, rule in how.items() if rule == "median"]
-    aggregates = []
-    for c, rule in how.items():
-        if rule == "mean":
-            aggregates.append(F.avg(c).alias(c))
-        elif rule == "median":
-            if approx:
-                aggregates.append(F.percentile_approx(F.col(c).cast("double"), 0.5).alias(c))
-        else:
-            aggregates.append(F.first(F.lit(rule)).alias(c))
-    exact = [] if approx else medians
-    if not exact:
-        return train.groupBy(*keys).agg(*aggregates).select(*keys, *how)
-    found = exact_quantiles(train, exact, [0.5], keys)
-    wide = found.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("column") == c, F.col("q")[0])).alias(c) for c in exact]
-    )
-    if not aggregates:
-        return wide.select(*keys, *how)
-    if keys:
-        return null_safe_join(train.groupBy(*keys).agg(*aggregates), wide, keys).select(*keys, *how)
-    picked = one_row(wide)
-    return (
-        train.agg(*aggregates).withColumns({c: picked[c] for c in exact}).select(*how)
-    )
+    means = [c for c, rule in how.items() if rule == "mean"]
+    constants = {c: F.lit(rule) for c, rule in how.items() if c not in medians + means}
+    aggregates = [F.avg(c).alias(c) for c in means]
+    if approx:
+        aggregates += [F.percentile_approx(F.col(c).cast("double"), 0.5).alias(c) for c in medians]
+        medians = []
+    if not medians:
+        # a row count keeps the one row, or the group rows, when only constants are asked for
+        stats = train.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *aggregates)
+    else:
+        found = exact_quantiles(train, medians, [0.5], keys)
+        stats = found.groupBy(*keys).agg(
+            *[F.max(F.when(F.col("column") == c, F.col("q")[0])).alias(c) for c in medians]
+        )
+        if aggregates and keys:
+            stats = null_safe_join(train.groupBy(*keys).agg(*aggregates), stats, keys)
+        elif aggregates:
+            middle = one_row(stats)
+            stats = train.agg(*aggregates).withColumns({c: middle[c] for c in medians})
+    return stats.withColumns(constants).select(*keys, *how) if constants else stats.select(*keys, *how)
 
 
 def apply_impute(

@@ -62,9 +62,10 @@ def one_row(stats: DataFrame) -> Column:
 
 def with_expected(df: DataFrame, expected: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key is among the expected keys."""
-    return df.join(expected.select(*on), list(on), "left_semi")
+    return lookup_join(df, expected.select(*on).distinct(), on, "left_semi")
 
 
 def missing_keys(expected: DataFrame, df: DataFrame, on: Sequence[str]) -> DataFrame:
     """Expected keys that ``df`` has no row for."""
-    return expected.join(df.select(*on), list(on), "left_anti")
+    # repeated keys are dropped before the shuffle, so a hot one does not travel
+    return expected.join(df.select(*on).distinct(), list(on), "left_anti")

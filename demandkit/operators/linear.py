@@ -60,7 +60,6 @@ def cross_sums(
         *by,
         *[(F.col(c) - shift[c]).alias(f"_x{i}") for i, c in enumerate(features)],
         (F.col(y) - shift[y]).alias("_y"),
-        F.array(*[shift[c] for c in columns]).alias("origin"),
     )
     xs = [F.col(f"_x{i}") for i in range(len(features))]
     yc = F.col("_y")
@@ -68,7 +67,9 @@ def cross_sums(
     sums += [F.sum(x).alias(f"sx_{i}") for i, x in enumerate(xs)]
     sums += [F.sum(x * yc).alias(f"sxy_{i}") for i, x in enumerate(xs)]
     sums += [F.sum(xs[i] * xs[j]).alias(f"sxx_{i}_{j}") for i, j in _pairs(len(xs))]
-    return moved.groupBy(*by).agg(*sums, F.any_value("origin").alias("origin"))
+    # the origin is added after the aggregate: an array in its buffer would force a sort
+    totals = moved.groupBy(*by).agg(*sums)
+    return totals.withColumns({f"o_{i}": shift[c] for i, c in enumerate(columns)})
 
 
 def expanding_sums(
@@ -78,8 +79,9 @@ def expanding_sums(
     exploded = sums.withColumn(
         "fold", F.explode(F.sequence(F.lit(1), F.lit(n_splits)))
     ).filter(F.col(block) < F.col("fold"))
+    origin = [f"o_{i}" for i in range(len(features) + 1)]
     return exploded.groupBy(*by, "fold").agg(
-        *[F.sum(c).alias(c) for c in _sum_names(features)], F.any_value("origin").alias("origin")
+        *[F.sum(c).alias(c) for c in _sum_names(features)], *[F.max(c).alias(c) for c in origin]
     )
 
 
@@ -94,7 +96,7 @@ def _packed(sums: DataFrame, features: Sequence[str], prefix: str = "") -> list[
         F.array(*[F.col(f"sxx_{min(i, j)}_{max(i, j)}") for i in range(d) for j in range(d)]).alias(
             prefix + "sxx"
         ),
-        F.col("origin").alias(prefix + "origin"),
+        F.array(*[F.col(f"o_{i}") for i in range(d + 1)]).alias(prefix + "origin"),
     ]
 
 

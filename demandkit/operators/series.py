@@ -51,10 +51,12 @@ def with_trailing(
     columns: Mapping[str, Callable[[WindowSpec], Column]],
     lookback: int,
     stretch_rows: int = STRETCH_ROWS,
+    position: str | None = None,
 ) -> DataFrame:
     """Add window columns that look at most ``lookback`` rows back.
 
-    Each entry maps a name to a function from the ordered window to its column.
+    Each entry maps a name to a function from the ordered window to its column. ``position``
+    names a column that already numbers the rows of each series, where there is one.
     """
     if series.daily:
         w = series.window()
@@ -62,7 +64,10 @@ def with_trailing(
 
     if lookback >= stretch_rows:
         raise ValueError("a stretch must be longer than the lookback")
-    placed = with_position(df, series, "_pos")
+    if position is None:
+        placed = with_position(df, series, "_pos")
+    else:
+        placed = df.withColumn("_pos", F.col(position))
     stretch = F.floor((F.col("_pos") - 1) / stretch_rows)
     # the last rows of a stretch are also needed, as context only, by the next one
     is_context = (F.col("_pos") - 1) % stretch_rows >= stretch_rows - lookback
@@ -183,7 +188,9 @@ def parse_feature(name: str) -> tuple[str, int] | None:
     return (match.group(1), int(match.group(2))) if match else None
 
 
-def add_series_features(df: DataFrame, series: Series, y: str, names: Sequence[str]) -> DataFrame:
+def add_series_features(
+    df: DataFrame, series: Series, y: str, names: Sequence[str], position: str | None = None
+) -> DataFrame:
     """Add ``lag_k``, ``rolling_mean_n``, ``rolling_std_n`` and ``lag_diff`` columns by name."""
     makers, lookback = {}, 0
     for name in names:
@@ -198,7 +205,7 @@ def add_series_features(df: DataFrame, series: Series, y: str, names: Sequence[s
             "rolling_std": trailing_std,
             "lag_diff": lambda y, _: lagged_difference(y),
         }[kind](y, n)
-    return with_trailing(df, series, makers, lookback)
+    return with_trailing(df, series, makers, lookback, position=position)
 
 
 def fill_with_series_mean(

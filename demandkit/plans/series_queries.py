@@ -161,7 +161,7 @@ def w1_raw(spark, sf):
     rows = table(spark, sf, "events").select("event_id", "event_type", "ts", "value")
     names = ["lag_1", "lag_5", "rolling_mean_5"]
     numbered = series.with_position(rows, _EVENT_SERIES)
-    made = series.add_series_features(numbered, _EVENT_SERIES, "value", names)
+    made = series.add_series_features(numbered, _EVENT_SERIES, "value", names, "position")
     return made.select(
         "event_id", "position", "lag_1", "lag_5", rounded("rolling_mean_5", "rolling_mean_5")
     )
