@@ -12,6 +12,12 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 16
 
 
+def json_bytes(df: DataFrame) -> int:
+    """Size of a materialised frame, written out as text."""
+    width = F.octet_length(F.to_json(F.struct("*")))
+    return df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"]
+
+
 def lookup_join(
     df: DataFrame,
     dim: DataFrame,
@@ -25,16 +31,14 @@ def lookup_join(
     ``bounded`` says the lookup is small by construction (calendar days, folds, columns).
     Otherwise it is materialised and measured: up to ``broadcast_bytes`` it is broadcast,
     beyond that every key is spread over ``SALTS`` partitions, so one hot key of ``df``
-    never ends up in a single task. Keys compare null-safe: a null group finds its row.
+    never ends up in a single task (identical rows share a salt; adaptive execution splits
+    those). Keys compare null-safe: a null group finds its row.
     """
     on = list(on)
     salted = False
     if not bounded:
         dim = checkpointed(dim)
-        size = dim.agg(
-            F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes")
-        ).first()["bytes"]
-        salted = size > broadcast_bytes
+        salted = json_bytes(dim) > broadcast_bytes
     values = [c for c in dim.columns if c not in on]
     right = dim.select(*[F.col(c).alias(f"_r_{c}") for c in on], *values)
     left = df

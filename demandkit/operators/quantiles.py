@@ -1,9 +1,8 @@
 """Exact quantiles that never gather a group in one task.
 
-Spark's ``percentile`` merges all distinct values of a group in one task. Here the
-distinct values stay spread out: they are counted per value, a histogram over narrow
-value buckets locates the bucket that holds the wanted rank, and only that bucket is
-ranked. The bucket is a pure function of the value, so a recomputed task agrees with the
+Spark's ``percentile`` merges all distinct values of a group in one task. Here a histogram
+over narrow value buckets locates the bucket that holds the wanted rank, and only the
+values of that bucket are ranked. The bucket is a pure function of the value, so a recomputed task agrees with the
 first run, and it only steers the work: the result is exact whatever the distribution.
 """
 
@@ -15,6 +14,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from demandkit.operators.joins import BROADCAST_BYTES, json_bytes
+from demandkit.session import checkpointed
+
 # Buckets per doubling of the value: a group's histogram stays below a few million rows
 # while a bucket holds about a hundred-thousandth of its values.
 _BUCKETS_PER_OCTAVE = float(2**16)
@@ -101,14 +103,7 @@ def exact_quantiles(
         long = wide.select(*keys, F.inline(pairs))
 
     rows = long.filter(F.col("_v").isNotNull()).withColumn("_b", _bucket(F.col("_v")))
-    if keys:
-        # any number of groups: shrink to distinct values before they are shuffled
-        rows = rows.groupBy(*group, "_b", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    else:
-        # a few target buckets: they are broadcast, so a second scan is cheaper than a shuffle
-        rows = rows.withColumn("_c", F.lit(1).cast("long"))
-
-    histogram = rows.groupBy(*group, "_b").agg(F.sum("_c").alias("_bc"))
+    histogram = rows.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("_bc"))
     ranks = _wanted_ranks(probs, method, F.col("n"))
     holds_a_rank = reduce(
         lambda a, b: a | b, [(F.col("_lo") <= r) & (r < F.col("_hi")) for r in ranks]
@@ -121,8 +116,19 @@ def exact_quantiles(
         .filter("_lo <= _rank AND _rank < _hi")
         .select(*group, "_b", "_rank", "n", F.col("_lo").alias("_base"))
     )
+    # few target buckets by construction without keys, otherwise measured
+    small = not keys
+    if not small:
+        targets = checkpointed(targets)
+        small = json_bytes(targets) <= BROADCAST_BYTES
+    if small:
+        # a second scan that keeps the target buckets is cheaper than shuffling the values
+        rows = rows.withColumn("_c", F.lit(1).cast("long"))
+    else:
+        # shrink to distinct values; the bucket in the join key keeps a large group spread
+        rows = rows.groupBy(*group, "_b", "_v").agg(F.count(F.lit(1)).alias("_c"))
     candidates = (
-        _match(rows, targets, [*group, "_b"], bounded=not keys)
+        _match(rows, targets, [*group, "_b"], small)
         .groupBy(*group, "n", "_rank", "_base", "_v")
         .agg(F.sum("_c").alias("_c"))
     )
@@ -135,19 +141,15 @@ def exact_quantiles(
     return by_rank.select(*group, "n", _interpolated(probs, method, F.col("n"), F.col("_at")).alias("q"))
 
 
-def _match(counts: DataFrame, targets: DataFrame, on: Sequence[str], bounded: bool) -> DataFrame:
-    """Keep the counts of the wanted buckets.
-
-    Without group keys the targets are a handful of rows and are broadcast; with keys the
-    join is left to the optimiser, and the bucket in its key keeps a large group spread.
-    """
+def _match(rows: DataFrame, targets: DataFrame, on: Sequence[str], small: bool) -> DataFrame:
+    """Keep the values of the wanted buckets, once per wanted rank."""
     right = targets.select(
         *[F.col(c).alias(f"_t_{c}") for c in on], *[c for c in targets.columns if c not in on]
     )
     condition = F.lit(True)
     for c in on:
         condition = condition & F.col(c).eqNullSafe(F.col(f"_t_{c}"))
-    joined = counts.join(F.broadcast(right) if bounded else right, condition)
+    joined = rows.join(F.broadcast(right) if small else right, condition)
     return joined.drop(*[f"_t_{c}" for c in on])
 
 

@@ -85,50 +85,39 @@ def with_position(df: DataFrame, series: Series, name: str = "position") -> Data
     """1-based row number within each series."""
     if series.daily:
         return df.withColumn(name, F.row_number().over(series.window()).cast("long"))
-    keys = list(series.keys)
-    second = F.date_trunc("second", F.col(series.ts))
-    day = F.date_trunc("day", F.col("_second"))
-    per_second = (
-        df.groupBy(*keys, second.alias("_second"))
-        .agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn("_day", day)
+    # structs are never null, so plain equality also matches null keys and times, and the
+    # numbering and the join below share one partitioning by (key, second)
+    key = F.struct(*series.keys)
+    second = F.struct(F.date_trunc("second", F.col(series.ts)))
+    day = F.struct(F.date_trunc("day", F.col(series.ts)))
+    per_second = df.groupBy(key.alias("_sk"), day.alias("_day"), second.alias("_ss")).agg(
+        F.count(F.lit(1)).alias("_c")
     )
-    per_day = per_second.groupBy(*keys, "_day").agg(F.sum("_c").alias("_dc"))
-    before = (Window.unboundedPreceding, -1)
-    day_start = per_day.select(
-        *[F.col(c).alias(f"_k_{c}") for c in keys],
-        F.col("_day").alias("_k_day"),
-        F.coalesce(
-            F.sum("_dc").over(Window.partitionBy(*keys).orderBy("_day").rowsBetween(*before)),
-            F.lit(0),
-        ).alias("_day_start"),
+    per_day = per_second.groupBy("_sk", "_day").agg(F.sum("_c").alias("_dc"))
+    days = Window.partitionBy("_sk").orderBy("_day")
+    seconds = Window.partitionBy("_sk", "_day").orderBy("_ss")
+    day_starts = per_day.select(
+        F.col("_sk").alias("_dk"),
+        F.col("_day").alias("_dd"),
+        _sum_before("_dc", days).alias("_day_start"),
     )
-    in_day = F.coalesce(
-        F.sum("_c").over(Window.partitionBy(*keys, "_day").orderBy("_second").rowsBetween(*before)),
-        F.lit(0),
+    starts = (
+        per_second.withColumn("_in_day", _sum_before("_c", seconds))
+        .join(day_starts, (F.col("_sk") == F.col("_dk")) & (F.col("_day") == F.col("_dd")))
+        .select("_sk", "_ss", (F.col("_in_day") + F.col("_day_start")).alias("_start"))
     )
-    starts = per_second.withColumn("_in_day", in_day).join(
-        day_start, _same_keys(keys) & (F.col("_day") == F.col("_k_day"))
+    inner = Window.partitionBy("_k", "_second").orderBy(*series.order)
+    numbered = df.withColumns({"_k": key, "_second": second}).withColumn(
+        "_rn", F.row_number().over(inner)
     )
-    starts = starts.select(
-        *[F.col(c).alias(f"_s_{c}") for c in keys],
-        F.col("_second").alias("_s_second"),
-        (F.col("_in_day") + F.col("_day_start")).alias("_start"),
-    )
-    # rows meet their start on (keys, second): a long series is spread over its seconds
-    inner = Window.partitionBy(*keys, "_second").orderBy(*series.order)
-    numbered = df.withColumn("_second", second).withColumn("_rn", F.row_number().over(inner))
     placed = numbered.join(
-        starts, _same_keys(keys, "_s_") & (F.col("_second") == F.col("_s_second"))
+        starts, (F.col("_k") == F.col("_sk")) & (F.col("_second") == F.col("_ss"))
     )
     return placed.select(*df.columns, (F.col("_rn") + F.col("_start")).cast("long").alias(name))
 
 
-def _same_keys(keys: Sequence[str], prefix: str = "_k_") -> Column:
-    condition = F.lit(True)
-    for c in keys:
-        condition = condition & F.col(c).eqNullSafe(F.col(prefix + c))
-    return condition
+def _sum_before(count: str, w: WindowSpec) -> Column:
+    return F.coalesce(F.sum(count).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
 
 def date_positions(df: DataFrame, ts: str) -> DataFrame:

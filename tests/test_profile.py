@@ -8,14 +8,16 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from demandkit.operators import choose, groups, impute, joins, profile, reshape
+from demandkit.operators import choose, groups, impute, joins, profile, quantiles, reshape
 from demandkit.operators.quantiles import exact_quantiles
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_quantiles_match_numpy(spark, seed):
+@pytest.mark.parametrize("seed,limit", [(1, 1 << 26), (2, -1)])
+def test_quantiles_match_numpy(spark, monkeypatch, seed, limit):
+    """With targets that are broadcast, and with targets too large for it."""
+    monkeypatch.setattr(quantiles, "BROADCAST_BYTES", limit)
     rng = random.Random(seed)
     rows = [
         (rng.choice(["a", "b", None]), rng.choice([rng.gauss(0, 1e3), rng.gauss(0, 1e-3), 0.0, 7.0]))
