@@ -14,6 +14,7 @@ from demandkit.functions.scalars import absolute_error, improvement_percent
 from demandkit.operators.choose import best_row, top_k
 from demandkit.operators.folds import folds_of, time_folds
 from demandkit.operators.linear import cross_validate_linear
+from demandkit.session import checkpointed
 
 # fit_fn(train rows) returns a function that adds ``prediction`` to any rows
 FitFn = Callable[[DataFrame], Callable[[DataFrame], DataFrame]]
@@ -63,10 +64,14 @@ def out_of_fold(
 ) -> DataFrame:
     """Validation rows of every fold, scored by a model fitted on the rows before them.
 
-    Folds are fitted a few at a time; every fit is a distributed job of its own. Persist an
-    expensive feature frame before calling.
+    The rows are materialised once, since every fit reads them several times.
     """
-    blocks = time_folds(df, ts, n_splits)
+    blocks = checkpointed(time_folds(df, ts, n_splits))
+    return _score_folds(blocks, fit_fn, n_splits, parallelism)
+
+
+def _score_folds(blocks: DataFrame, fit_fn: FitFn, n_splits: int, parallelism: int) -> DataFrame:
+    """Folds are fitted a few at a time; every fit is a distributed job of its own."""
 
     def run(part: tuple[int, DataFrame, DataFrame]) -> DataFrame:
         fold, train, validation = part
@@ -159,10 +164,11 @@ def search(
 
     What comes back to the driver is one summary row per trial.
     """
+    blocks = checkpointed(time_folds(df, ts, n_splits))
     trials = []
     for i, params in enumerate(candidates):
-        folds = cross_validate(df, make_fit(params), y, ts, n_splits, parallelism)
-        row = fold_summary(folds).first()
+        scored = _score_folds(blocks, make_fit(params), n_splits, parallelism)
+        row = fold_summary(rmse(scored, y, "prediction", ["fold"])).first()
         described = ", ".join(f"{k}={v}" for k, v in sorted(params.items()))
         trials.append((i, described, row["mean_rmse"], row["std_rmse"]))
     frame = spark.createDataFrame(

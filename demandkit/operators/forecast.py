@@ -55,7 +55,9 @@ def buffer_feature(name: str, buffer: Column) -> Column | None:
     return F.when(size >= 2, change).otherwise(F.lit(0.0))
 
 
-def frozen_lags(history: DataFrame, future: DataFrame, series: Series, y: str, names: Sequence[str]) -> DataFrame:
+def frozen_lags(
+    history: DataFrame, future: DataFrame, series: Series, y: str, names: Sequence[str]
+) -> DataFrame:
     """Future rows with series features frozen at the end of the history."""
     features = {name: buffer_feature(name, F.col("buffer")) for name in names}
     if any(c is None for c in features.values()):
@@ -82,9 +84,10 @@ def recursive_forecast(
 
     ``features`` names, in model order, series features and columns of ``future``.
     ``predict`` turns the feature values into one value; it may refer to the columns of
-    ``models``, which holds one row per series, or a single row for all. Bounds apply inside the walk, because a
-    bounded prediction feeds the following lags. Only the last ``buffer_size`` rows of each
-    history and the future rows are moved.
+    ``models``, which holds one row per series, or a single row for all. A series without a
+    model gets nulls. Bounds apply inside the walk, because a bounded prediction feeds the
+    following lags. Only the last ``buffer_size`` rows of each history and the future rows
+    are moved.
     """
     keys = list(series.keys)
     given = [f for f in features if parse_feature(f) is None]
@@ -101,7 +104,7 @@ def recursive_forecast(
             single = one_row(models)
             state = state.withColumns({c: single[c] for c in models.columns})
         else:
-            state = lookup_join(state, models, keys, "inner")
+            state = lookup_join(state, models, keys)
     start = F.struct(
         F.coalesce("_buffer", F.array().cast("array<double>")).alias("buffer"),
         F.array().cast("array<double>").alias("predictions"),
@@ -123,5 +126,9 @@ def recursive_forecast(
         return F.transform(F.array(value), remember)[0]
 
     walked = F.aggregate("_ahead", start, step, lambda acc: acc["predictions"])
-    pairs = F.zip_with("_ahead", walked, lambda row, p: F.struct(row[series.ts].alias(series.ts), p.alias("prediction")))
+    pairs = F.zip_with(
+        "_ahead",
+        walked,
+        lambda row, p: F.struct(row[series.ts].alias(series.ts), p.alias("prediction")),
+    )
     return state.select(*keys, F.inline(pairs))

@@ -191,14 +191,15 @@ def score(
 ) -> DataFrame:
     """Add predictions. A single model reaches the rows as a constant, grouped ones by a lookup.
 
-    ``bounded`` says the models are few by construction, such as one per fold.
+    ``bounded`` says the models are few by construction, such as one per fold. Rows of a
+    group without a model keep a null prediction.
     """
     xs = [F.col(c).cast("double") for c in features]
     if not by:
         model = one_row(models.select("intercept", "coef"))
         return df.withColumn(name, linear_value(model["intercept"], model["coef"], xs))
     lookup = models.select(*by, F.col("intercept").alias("_b"), F.col("coef").alias("_w"))
-    joined = lookup_join(df, lookup, by, "inner", bounded)
+    joined = lookup_join(df, lookup, by, "left", bounded)
     return joined.withColumn(name, linear_value(F.col("_b"), F.col("_w"), xs)).drop("_b", "_w")
 
 

@@ -130,7 +130,7 @@ def date_positions(df: DataFrame, ts: str) -> DataFrame:
 def with_date_position(df: DataFrame, ts: str, name: str = "position") -> DataFrame:
     """Place of each row's date among all distinct dates, over all series together."""
     places = date_positions(df, ts).withColumnRenamed("position", name)
-    return lookup_join(df, places, [ts], "inner", bounded=True)
+    return lookup_join(df, places, [ts], bounded=True)
 
 
 # Window columns. Each returns a function of the ordered window.

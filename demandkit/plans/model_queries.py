@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from demandkit.operators import evaluate, folds, forecast, linear, trees
 from demandkit.operators.choose import best_row
 from demandkit.operators.profile import target_range
-from demandkit.operators.series import add_series_features
 from demandkit.plans.catalogue import day_text, query, rounded
 from demandkit.plans.derived import (
     BLOCKS_SQL,
@@ -503,7 +502,7 @@ def _forest(params):
 
 @query("m10_cross_validation_forest")
 def m10_forest(spark, sf):
-    rows = checkpointed(tree_rows(spark, sf))
+    rows = tree_rows(spark, sf)
     scores = evaluate.cross_validate(rows, _forest(_SMALL_FOREST), "y", "ds", n_splits=3)
     return scores.select("fold", "n", "rmse")
 
@@ -512,9 +511,10 @@ def m10_forest(spark, sf):
 def m14_forest(spark, sf):
     """Seeded random candidates, each judged on expanding folds."""
     space = {"numTrees": ("int", 3, 6), "maxDepth": ("int", 2, 4), "minInstancesPerNode": ("int", 1, 10)}
-    rows = checkpointed(tree_rows(spark, sf))
     candidates = evaluate.random_candidates(space, 2)
-    return evaluate.search(spark, rows, _forest, candidates, "y", "ds", n_splits=2)
+    return evaluate.search(
+        spark, tree_rows(spark, sf), _forest, candidates, "y", "ds", n_splits=2
+    )
 
 
 @query("m15_tree_importance")

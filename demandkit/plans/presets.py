@@ -49,7 +49,6 @@ DONBURI = "丼"
 FUN_MENU = "お楽しみ"
 SPECIAL_WORDS = ["お楽しみ", "スペシャル"]
 CHEF_WORDS = ["お楽しみ", "料理長"]
-SPECIAL_PATTERN = "お楽しみ|スペシャル|手作り"
 MENU_TYPES = [("お楽しみ", "お楽しみメニュー"), ("料理長", "料理長のこだわり")]
 MENU_TYPE_OTHER = "その他特別"
 MENU_TYPE_NORMAL = "通常メニュー"

@@ -60,7 +60,8 @@ def s2(spark, sf):
     """CSV text with a sentinel, scanned as numbers."""
     path = new_folder(spark, "tax-csv")
     source = table(spark, sf, "lineitem").selectExpr(
-        "l_linenumber", "CASE WHEN l_linenumber % 3 = 0 THEN '--' ELSE cast(l_tax AS string) END AS tax"
+        "l_linenumber",
+        "CASE WHEN l_linenumber % 3 = 0 THEN '--' ELSE cast(l_tax AS string) END AS tax",
     )
     sinks.write_features(source, path, "csv")
     scanned = tables.read_table(
@@ -148,7 +149,8 @@ def p2(spark, sf):
 def p3(spark, sf):
     customer = table(spark, sf, "customer")
     kept = columns.feature_columns(customer, ["c_name", "c_mktsegment"])
-    return customer.select(columns.available(customer.select(*kept), ["c_custkey", "c_missing", "c_nationkey", "c_acctbal"]))
+    wanted = ["c_custkey", "c_missing", "c_nationkey", "c_acctbal"]
+    return customer.select(columns.available(customer.select(*kept), wanted))
 
 
 @query(

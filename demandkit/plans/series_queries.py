@@ -266,6 +266,15 @@ def _has(column: str, *words: str) -> str:
 
 
 
+def _mean_before(n: int, aggregate: str = "avg") -> str:
+    frame = f"PARTITION BY shop ORDER BY ds ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING"
+    return f"round({aggregate}(y) OVER ({frame}), 6)"
+
+
+_WEEK_CODE = """CASE week WHEN '月' THEN 0 WHEN '火' THEN 1 WHEN '水' THEN 2 WHEN '木' THEN 3
+    WHEN '金' THEN 4 WHEN '土' THEN 5 ELSE 6 END"""
+_WEATHER_CODE = """CASE weather WHEN '快晴' THEN 0 WHEN '晴れ' THEN 1 WHEN '薄曇' THEN 2
+    WHEN '雨' THEN 4 WHEN '雪' THEN 5 WHEN '雷電' THEN 6 ELSE 3 END"""
 _SQL_FEATURES = {
     "year": "CAST(year(ds) AS INTEGER)",
     "month": "CAST(month(ds) AS INTEGER)",
@@ -292,10 +301,10 @@ _SQL_FEATURES = {
     "is_rainy": "CASE WHEN weather IN ('雨', '雪', '雷電') THEN 1 ELSE 0 END",
     "is_bad_weather_cold": """CASE WHEN weather IN ('雨', '雪', '雷電') AND coalesce(temperature, med_t) < 15
         THEN 1 ELSE 0 END""",
-    "week_enc": "CASE week WHEN '月' THEN 0 WHEN '火' THEN 1 WHEN '水' THEN 2 WHEN '木' THEN 3 WHEN '金' THEN 4 WHEN '土' THEN 5 ELSE 6 END",
-    "week_encoded": "CASE week WHEN '月' THEN 0 WHEN '火' THEN 1 WHEN '水' THEN 2 WHEN '木' THEN 3 WHEN '金' THEN 4 WHEN '土' THEN 5 ELSE 6 END",
-    "weather_enc": "CASE weather WHEN '快晴' THEN 0 WHEN '晴れ' THEN 1 WHEN '薄曇' THEN 2 WHEN '雨' THEN 4 WHEN '雪' THEN 5 WHEN '雷電' THEN 6 ELSE 3 END",
-    "weather_encoded": "CASE weather WHEN '快晴' THEN 0 WHEN '晴れ' THEN 1 WHEN '薄曇' THEN 2 WHEN '雨' THEN 4 WHEN '雪' THEN 5 WHEN '雷電' THEN 6 ELSE 3 END",
+    "week_enc": _WEEK_CODE,
+    "week_encoded": _WEEK_CODE,
+    "weather_enc": _WEATHER_CODE,
+    "weather_encoded": _WEATHER_CODE,
     "is_special_menu": _has("remarks", "お楽しみ", "スペシャル"),
     "is_otanoshimi": _has("remarks", "お楽しみ", "スペシャル"),
     "is_curry": _has("name", "カレー"),
@@ -317,9 +326,9 @@ _SQL_FEATURES = {
     "lag_1": "lag(y, 1) OVER w",
     "lag_5": "lag(y, 5) OVER w",
     "lag_7": "lag(y, 7) OVER w",
-    "rolling_mean_5": "round(avg(y) OVER (PARTITION BY shop ORDER BY ds ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING), 6)",
-    "rolling_mean_10": "round(avg(y) OVER (PARTITION BY shop ORDER BY ds ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING), 6)",
-    "rolling_std_5": "round(stddev_samp(y) OVER (PARTITION BY shop ORDER BY ds ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING), 6)",
+    "rolling_mean_5": _mean_before(5),
+    "rolling_mean_10": _mean_before(10),
+    "rolling_std_5": _mean_before(5, "stddev_samp"),
     "lag_diff": "lag(y, 1) OVER w - lag(y, 2) OVER w",
 }
 _SQL_OWN = {
