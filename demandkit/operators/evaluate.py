@@ -13,7 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from demandkit.functions.scalars import absolute_error, improvement_percent
 from demandkit.operators.choose import best_row, top_k
 from demandkit.operators.folds import folds_of, time_folds
-from demandkit.operators.linear import cross_validate_linear
+from demandkit.operators.linear import (
+    cross_validate_linear,
+    fold_errors,
+    fold_sums,
+    sums_of_subset,
+)
 from demandkit.session import checkpointed
 
 # fit_fn(train rows) returns a function that adds ``prediction`` to any rows
@@ -101,13 +106,15 @@ def compare_feature_sets(
 ) -> DataFrame:
     """Linear cross-validation per named feature list: ``model, listed, …, improvement``.
 
-    Improvement is over the first set.
+    All sets share one pass over the rows and are judged on the same ones, those where the
+    features of every set are known. Improvement is over the first set.
     """
+    features = list(dict.fromkeys(name for names in sets.values() for name in names))
+    sums = fold_sums(df, features, y, ts, n_splits)
     parts = []
-    for i, (name, features) in enumerate(sets.items()):
-        folds = cross_validate_linear(
-            df, features, y, ts, n_splits, alphas=(alpha,), standardise=standardise
-        )
+    for i, (name, subset) in enumerate(sets.items()):
+        own = sums_of_subset(sums, features, subset, ["block"])
+        folds = fold_errors(own, subset, n_splits, alphas=(alpha,), standardise=standardise)
         parts.append(
             fold_summary(folds).select(F.lit(name).alias("model"), F.lit(i).alias("listed"), "*")
         )

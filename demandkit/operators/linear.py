@@ -247,34 +247,54 @@ def _blocks_and_center(
     return blocks, origin
 
 
-def cross_validate_linear(
+def fold_sums(
     df: DataFrame,
     features: Sequence[str],
     y: str,
     ts: str,
     n_splits: int = 5,
     by: Sequence[str] = (),
-    alphas: Sequence[float] = (0.0,),
-    standardise: bool = False,
     origin: Mapping[str, float | Column] | None = None,
 ) -> DataFrame:
-    """RMSE per group, penalty and fold: ``by, alpha, fold, n, sse, rmse``.
-
-    One pass finds the cut dates and the means, a second one serves all folds and all
-    penalties, scoring included.
-    """
-    by, d = list(by), len(features)
+    """Materialised cross-product sums per group and time block."""
     needed = df.select(*dict.fromkeys([*by, ts, y, *features]))
     blocks, center = _blocks_and_center(needed, features, y, ts, n_splits, origin)
-    # read twice below, as training and as validation sums
-    sums = checkpointed(cross_sums(blocks, features, y, [*by, "block"], center))
+    return checkpointed(cross_sums(blocks, features, y, [*by, "block"], center))
+
+
+def sums_of_subset(
+    sums: DataFrame, features: Sequence[str], subset: Sequence[str], by: Sequence[str] = ()
+) -> DataFrame:
+    """The sums a subset of the features would have given."""
+    place = {name: i for i, name in enumerate(features)}
+    at = [place[name] for name in subset]
+    picked = [F.col(f"sx_{i}").alias(f"sx_{k}") for k, i in enumerate(at)]
+    picked += [F.col(f"sxy_{i}").alias(f"sxy_{k}") for k, i in enumerate(at)]
+    picked += [
+        F.col(f"sxx_{min(at[k], at[m])}_{max(at[k], at[m])}").alias(f"sxx_{k}_{m}")
+        for k, m in _pairs(len(at))
+    ]
+    picked += [F.col(f"o_{i}").alias(f"o_{k}") for k, i in enumerate([*at, len(features)])]
+    return sums.select(*by, "n", "sy", "syy", *picked)
+
+
+def fold_errors(
+    sums: DataFrame,
+    features: Sequence[str],
+    n_splits: int = 5,
+    by: Sequence[str] = (),
+    alphas: Sequence[float] = (0.0,),
+    standardise: bool = False,
+) -> DataFrame:
+    """RMSE per group, penalty and fold from the sums alone: ``by, alpha, fold, n, sse, rmse``."""
+    by, d = list(by), len(features)
     train = expanding_sums(sums, features, n_splits, by)
     validation = sums.filter("block > 0").select(
         *by, F.col("block").alias("fold"), *_packed(sums, features, "v_")
     )
     both = train.select(*by, "fold", *_packed(train, features)).join(validation, [*by, "fold"])
     penalties = F.explode(F.array(*[F.lit(float(a)) for a in alphas])).alias("alpha")
-    fields = [f for f in df.schema if f.name in by]
+    fields = [f for f in sums.schema if f.name in by]
     keyed = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields)
 
     def evaluate(batches):
@@ -291,6 +311,26 @@ def cross_validate_linear(
     return scored.withColumn("v_n", F.col("v_n").cast("long")).withColumnRenamed("v_n", "n")
 
 
+def cross_validate_linear(
+    df: DataFrame,
+    features: Sequence[str],
+    y: str,
+    ts: str,
+    n_splits: int = 5,
+    by: Sequence[str] = (),
+    alphas: Sequence[float] = (0.0,),
+    standardise: bool = False,
+    origin: Mapping[str, float | Column] | None = None,
+) -> DataFrame:
+    """RMSE per group, penalty and fold: ``by, alpha, fold, n, sse, rmse``.
+
+    One pass finds the cut dates and the means, a second one serves all folds and all
+    penalties, scoring included.
+    """
+    sums = fold_sums(df, features, y, ts, n_splits, by, origin)
+    return fold_errors(sums, features, n_splits, by, alphas, standardise)
+
+
 def out_of_fold_linear(
     df: DataFrame,
     features: Sequence[str],

@@ -7,6 +7,8 @@ presets use them: the first is only known after the day, the second invites over
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from demandkit.functions.columns import add_missing
@@ -143,43 +145,71 @@ def needs_calendar(preset: str) -> bool:
     return "is_holiday" in PRESETS[preset]
 
 
-def fit_preset(train: DataFrame) -> DataFrame:
-    """One row of training medians. A missing ``precipitation`` is unknown here, not zero."""
-    numbers = train.select(
-        F.col("kcal").cast("double").alias("kcal"),
-        F.col("temperature").cast("double").alias("temperature"),
-        sentinel_number(F.col("precipitation"), SENTINELS, "null").alias("precipitation"),
-    )
-    return fit_impute(numbers, {c: "median" for c in numbers.columns})
-
-
-def _shared(ts: str, stats: Column) -> dict[str, Column]:
-    """Features that mean the same in every preset using them."""
-    day, weather, remarks, name = F.col(ts), F.col("weather"), F.col("remarks"), F.col("name")
-    temperature = F.coalesce(F.col("temperature").cast("double"), stats["temperature"])
-    kcal = F.coalesce(F.col("kcal").cast("double"), stats["kcal"])
-    rain = F.coalesce(sentinel_number(F.col("precipitation"), SENTINELS, "zero"), F.lit(0.0))
-    bad_weather = member_flag(weather, BAD_WEATHER)
-    payday = F.coalesce(F.col("payday").cast("double"), F.lit(0.0))
-    soldout = F.coalesce(F.col("soldout").cast("int"), F.lit(0))
-    month_sin, month_cos = cyclical(F.month(day), 12)
-    return {
-        **date_parts(day),
-        "dayofweek": weekday(day),
-        "weekday": iso_weekday(day),
-        "weekofyear": iso_week(day),
-        "month_end": flag(F.dayofmonth(day) > 20),
-        "month_sin": month_sin,
-        "month_cos": month_cos,
-        "is_friday": weekday_flag(day),
-        **month_third_flags(day),
-        **season_flags(day),
-        **one_hot(F.col("week"), WEEK_DAYS, "week"),
-        **one_hot(weather, WEATHER, "weather"),
-        "week_enc": map_values(F.col("week"), WEEK_CODES),
-        "week_encoded": map_values(F.col("week"), WEEK_CODES),
-        "weather_enc": map_values(weather, WEATHER_CODES, WEATHER_DEFAULT),
-        "weather_encoded": map_values(weather, WEATHER_CODES, WEATHER_DEFAULT),
+# Which fitted median a feature falls back to; ``codes_12`` reads a missing rain as unknown.
+_FALLS_BACK_TO = {
+    "temperature": {"temperature", "temp_filled", "temp_month", "is_bad_weather_cold"},
+    "kcal": {"kcal", "kcal_filled"},
+}
+_UNKNOWN_RAIN = {"codes_12"}
+
+
+def fit_preset(train: DataFrame, preset: str) -> DataFrame:
+    """One row with the training medians the preset needs, and no others."""
+    wanted = set(PRESETS[preset])
+    numbers = {
+        "temperature": F.col("temperature").cast("double"),
+        "kcal": F.col("kcal").cast("double"),
+        "precipitation": sentinel_number(F.col("precipitation"), SENTINELS, "null"),
+    }
+    needed = [c for c, users in _FALLS_BACK_TO.items() if wanted & users]
+    if preset in _UNKNOWN_RAIN:
+        needed.append("precipitation")
+    columns = train.select(*[numbers[c].alias(c) for c in needed])
+    return fit_impute(columns, {c: "median" for c in needed})
+
+
+def _shared(ts: str, stats: Column) -> dict[str, Callable[[], Column]]:
+    """Features that mean the same in every preset using them, built on demand."""
+    day, week, weather = F.col(ts), F.col("week"), F.col("weather")
+    name, remarks, event = F.col("name"), F.col("remarks"), F.col("event")
+
+    def temperature() -> Column:
+        return F.coalesce(F.col("temperature").cast("double"), stats["temperature"])
+
+    def kcal() -> Column:
+        return F.coalesce(F.col("kcal").cast("double"), stats["kcal"])
+
+    def rain() -> Column:
+        number = sentinel_number(F.col("precipitation"), SENTINELS, "zero")
+        return F.coalesce(number, F.lit(0.0))
+
+    def bad_weather() -> Column:
+        return member_flag(weather, BAD_WEATHER)
+
+    def payday() -> Column:
+        return F.coalesce(F.col("payday").cast("double"), F.lit(0.0))
+
+    def soldout() -> Column:
+        return F.coalesce(F.col("soldout").cast("int"), F.lit(0))
+
+    def week_code() -> Column:
+        return map_values(week, WEEK_CODES)
+
+    def weather_code() -> Column:
+        return map_values(weather, WEATHER_CODES, WEATHER_DEFAULT)
+
+    made = {
+        "dayofweek": lambda: weekday(day),
+        "weekday": lambda: iso_weekday(day),
+        "weekofyear": lambda: iso_week(day),
+        "month_end": lambda: flag(F.dayofmonth(day) > 20),
+        "month_sin": lambda: cyclical(F.month(day), 12)[0],
+        "month_cos": lambda: cyclical(F.month(day), 12)[1],
+        "is_friday": lambda: weekday_flag(day),
+        "week_enc": week_code,
+        "week_encoded": week_code,
+        "weather_enc": weather_code,
+        "weather_encoded": weather_code,
         "temperature": temperature,
         "temp_filled": temperature,
         "kcal": kcal,
@@ -188,45 +218,54 @@ def _shared(ts: str, stats: Column) -> dict[str, Column]:
         "precipitation_num": rain,
         "is_bad_weather": bad_weather,
         "is_rainy": bad_weather,
-        "is_bad_weather_cold": all_flag(bad_weather == 1, temperature < COLD_BELOW),
+        "is_bad_weather_cold": lambda: all_flag(bad_weather() == 1, temperature() < COLD_BELOW),
         "payday": payday,
-        "payday_flag": payday.cast("int"),
+        "payday_flag": lambda: payday().cast("int"),
         "soldout": soldout,
         "soldout_flag": soldout,
-        "event": presence_flag(F.col("event")),
-        "event_flag": presence_flag(F.col("event")),
-        "remarks_flag": presence_flag(remarks),
-        "has_remarks": presence_flag(remarks),
-        "is_curry": contains_flag(name, CURRY),
-        "is_donburi": contains_flag(name, DONBURI),
-        "is_friday_curry": all_flag(F.weekday(day) == 4, name.contains(CURRY)),
-        "is_otanoshimi": any_of_flag(remarks, SPECIAL_WORDS),
-        "is_special_menu": any_of_flag(remarks, SPECIAL_WORDS),
-        "week_month": weekday(day) * F.month(day),
-        "week_payday": weekday(day) * payday,
-        "temp_month": temperature * F.month(day),
+        "event": lambda: presence_flag(event),
+        "event_flag": lambda: presence_flag(event),
+        "remarks_flag": lambda: presence_flag(remarks),
+        "has_remarks": lambda: presence_flag(remarks),
+        "is_curry": lambda: contains_flag(name, CURRY),
+        "is_donburi": lambda: contains_flag(name, DONBURI),
+        "is_friday_curry": lambda: all_flag(F.weekday(day) == 4, name.contains(CURRY)),
+        "is_otanoshimi": lambda: any_of_flag(remarks, SPECIAL_WORDS),
+        "is_special_menu": lambda: any_of_flag(remarks, SPECIAL_WORDS),
+        "week_month": lambda: weekday(day) * F.month(day),
+        "week_payday": lambda: weekday(day) * payday(),
+        "temp_month": lambda: temperature() * F.month(day),
+    }
+    families = {
+        ("year", "month", "day"): lambda: date_parts(day),
+        tuple(_MONTH_THIRDS): lambda: month_third_flags(day),
+        ("is_summer", "is_winter"): lambda: season_flags(day),
+        tuple(_WEEK_HOT): lambda: one_hot(week, WEEK_DAYS, "week"),
+        tuple(_WEATHER_HOT): lambda: one_hot(weather, WEATHER, "weather"),
     }
+    for names, family in families.items():
+        made |= {n: (lambda n=n, family=family: family()[n]) for n in names}
+    return made
 
 
 def _own(preset: str, stats: Column) -> dict[str, Column]:
     """Features whose meaning is the preset's own."""
     name, remarks = F.col("name"), F.col("remarks")
-    rain = F.coalesce(sentinel_number(F.col("precipitation"), SENTINELS, "zero"), F.lit(0.0))
-    unknown_rain = sentinel_number(F.col("precipitation"), SENTINELS, "null")
-    return {
-        "holiday_11": {"is_bad_weather": flag(rain > 0)},
-        "compact_5": {"is_special_menu": any_of_flag(remarks, CHEF_WORDS)},
-        "full_25": {"is_special_menu": any_of_flag(remarks, CHEF_WORDS)},
-        "codes_9": {"is_otanoshimi": contains_flag(remarks, FUN_MENU)},
-        "codes_12": {"precipitation": F.coalesce(unknown_rain, stats["precipitation"])},
-        "lean_15": pattern_flags(name, LEAN_PATTERNS, "menu_"),
-        "wide": pattern_flags(name, WIDE_PATTERNS, "menu_"),
-        "tuned": pattern_flags(name, TUNED_PATTERNS, "menu_"),
-        "cyclic_31": {
-            **keyword_flags(name, MENU_WORDS, "menu_"),
-            "event_flag": presence_flag(F.col("event"), non_empty=True),
-        },
-    }.get(preset, {})
+    if preset == "holiday_11":
+        rain = sentinel_number(F.col("precipitation"), SENTINELS, "zero")
+        return {"is_bad_weather": flag(rain > 0)}
+    if preset in ("compact_5", "full_25"):
+        return {"is_special_menu": any_of_flag(remarks, CHEF_WORDS)}
+    if preset == "codes_9":
+        return {"is_otanoshimi": contains_flag(remarks, FUN_MENU)}
+    if preset == "codes_12":
+        rain = sentinel_number(F.col("precipitation"), SENTINELS, "null")
+        return {"precipitation": F.coalesce(rain, stats["precipitation"])}
+    if preset == "cyclic_31":
+        named_event = presence_flag(F.col("event"), non_empty=True)
+        return {**keyword_flags(name, MENU_WORDS, "menu_"), "event_flag": named_event}
+    patterns = {"lean_15": LEAN_PATTERNS, "wide": WIDE_PATTERNS, "tuned": TUNED_PATTERNS}
+    return pattern_flags(name, patterns.get(preset, {}), "menu_")
 
 
 def build_features(
@@ -252,6 +291,12 @@ def build_features(
     elif lagged:
         df = add_missing(df, {f: None for f in lagged})
     fitted = one_row(stats)
-    made = {**_shared(series.ts, fitted), **_own(preset, fitted)}
+    shared, own = _shared(series.ts, fitted), _own(preset, fitted)
+
+    def feature(name: str) -> Column:
+        if name in own:
+            return own[name].alias(name)
+        return shared[name]().alias(name) if name in shared else F.col(name)
+
     kept = [*series.keys, series.ts, *([target] if target else [])]
-    return df.select(*kept, *[made[f].alias(f) if f in made else F.col(f) for f in wanted])
+    return df.select(*kept, *[feature(name) for name in wanted])

@@ -378,7 +378,8 @@ def _register_preset(preset: str) -> None:
     @query(f"m22_features_{preset}", _preset_sql(preset))
     def run(spark, sf):
         rows = sales(spark, sf)
-        stats = presets.fit_preset(rows.filter(F.col("ds") < F.lit(CUT).cast("date")))
+        train = rows.filter(F.col("ds") < F.lit(CUT).cast("date"))
+        stats = presets.fit_preset(train, preset)
         made = presets.build_features(rows, preset, stats, SHOP, calendar=calendar(spark, sf))
         shaky = ["month_sin", "month_cos", "temp_month", "rolling_mean_5", "rolling_mean_10", "rolling_std_5"]
         made = made.withColumns({c: F.round(c, 6) + 0 for c in shaky if c in made.columns})

@@ -63,7 +63,7 @@ def test_shape_and_statistics(train, test):
 
 
 def test_fitted_medians(train):
-    stats = presets.fit_preset(train).first()
+    stats = presets.fit_preset(train, "codes_9").first()
     assert (stats["kcal"], stats["temperature"]) == (408.5, 19.8)
 
 
@@ -73,14 +73,14 @@ def test_derived_columns(spark, train):
         f"datetime string, y int, {ATTRIBUTES}, is_otanoshimi int, is_curry int, is_donburi int, "
         "precipitation_num double, month int, kcal_filled double, week_enc int, weather_enc int",
     )
-    made = presets.build_features(train, "codes_9", presets.fit_preset(train), SHOP)
+    made = presets.build_features(train, "codes_9", presets.fit_preset(train, "codes_9"), SHOP)
     columns = presets.PRESETS["codes_9"]
     assert made.select("ds", *columns).exceptAll(wanted.select("ds", *columns)).count() == 0
     assert wanted.count() == made.count()
 
 
 def test_ridge_submission(spark, train, test, tmp_path):
-    stats = presets.fit_preset(train)
+    stats = presets.fit_preset(train, "compact_5")
     rows = presets.build_features(train, "compact_5", stats, SHOP)
     future = presets.build_features(test, "compact_5", stats, SHOP, target=None)
     features = presets.PRESETS["compact_5"]
@@ -92,7 +92,7 @@ def test_ridge_submission(spark, train, test, tmp_path):
 
 
 def test_fold_errors(train):
-    rows = presets.build_features(train, "compact_5", presets.fit_preset(train), SHOP)
+    rows = presets.build_features(train, "compact_5", presets.fit_preset(train, "compact_5"), SHOP)
     folds = linear.cross_validate_linear(rows, presets.PRESETS["compact_5"], "y", "ds", alphas=(1.0,))
     got = [r["rmse"] for r in folds.orderBy("fold").collect()]
     assert got == pytest.approx([19.0455, 34.9325, 22.1356, 16.0382, 29.0247], abs=1e-4)
@@ -101,7 +101,7 @@ def test_fold_errors(train):
 
 @pytest.mark.parametrize("preset", list(presets.PRESETS))
 def test_presets_have_no_nulls_but_series_gaps(spark, train, test, preset):
-    stats = presets.fit_preset(train)
+    stats = presets.fit_preset(train, preset)
     calendar = spark.createDataFrame([("2014-01-01",)], "ds string")
     made = presets.build_features(train, preset, stats, SHOP, calendar=calendar)
     plain = [f for f in presets.PRESETS[preset] if presets.parse_feature(f) is None]

@@ -78,6 +78,15 @@ def test_out_of_fold_agrees_with_summed_errors(frame):
     assert scored == pytest.approx(summed)
 
 
+def test_feature_sets_share_one_pass(frame):
+    sets = {"two": ["b", "year"], "all": FEATURES}
+    got = {r["model"]: r for r in evaluate.compare_feature_sets(frame, sets, "y", "ds", alpha=1.0).collect()}
+    for name, features in sets.items():
+        alone = linear.cross_validate_linear(frame, features, "y", "ds", alphas=(1.0,))
+        assert got[name]["mean_rmse"] == pytest.approx(evaluate.fold_summary(alone).first()["mean_rmse"])
+    assert got["two"]["improvement"] == 0.0 and got["all"]["improvement"] > 0
+
+
 def test_trees_in_the_jvm_equal_mllib(spark, frame):
     for fit in [
         lambda: trees.fit_forest(frame, FEATURES, "y", numTrees=4, maxDepth=4),

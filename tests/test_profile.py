@@ -167,3 +167,23 @@ def test_reshape(spark):
     assert [tuple(r) for r in scaled.collect()] == [(-1.0, 0.0), (1.0, 0.0)]
     rows = reshape.rows_frame(spark, {"m": {"rmse": 1.5}}, "model", "model string, rmse double")
     assert rows.first().asDict() == {"model": "m", "rmse": 1.5}
+
+
+def test_expected_and_missing_keys(spark, monkeypatch):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "k string, v int")
+    expected = spark.createDataFrame([("a",), ("a",), ("z",)], "k string")
+    assert sorted(r["v"] for r in joins.with_expected(df, expected, ["k"]).collect()) == [1, 2]
+    semi = joins.lookup_join(df, expected.distinct(), ["k"], "left_semi", broadcast_bytes=0)
+    assert sorted(r["v"] for r in semi.collect()) == [1, 2]
+    assert [r["k"] for r in joins.missing_keys(expected, df, ["k"]).collect()] == ["z"]
+
+
+def test_holidays(spark):
+    from demandkit.operators.calendar import with_holidays
+
+    df = spark.createDataFrame([("2013-12-31",), ("2014-01-01",), (None,)], "d string")
+    calendar = spark.createDataFrame([("2014-01-01",), ("2014-01-01",), (None,)], "ds string")
+    got = with_holidays(df.withColumn("ds", F.col("d").cast("date")), "ds", calendar).collect()
+    assert [(r["d"], r["is_holiday"], r["is_next_holiday"]) for r in got] == [
+        ("2013-12-31", 0, 1), ("2014-01-01", 1, 0), (None, 0, 0),
+    ]
