@@ -48,8 +48,8 @@ def time_folds(df: DataFrame, ts: str, n_splits: int = 5, name: str = "block") -
     one row per date this is the positional expanding split. The cut dates reach the rows
     as a constant, so assigning blocks needs no join and no shuffle.
     """
-    cuts = fold_cuts(df, ts, n_splits).scalar()
-    return df.withColumn(name, block_of(F.col(ts), cuts, n_splits))
+    cut = df.withColumn("_cuts", fold_cuts(df, ts, n_splits).scalar())
+    return cut.withColumn(name, block_of(F.col(ts), F.col("_cuts"), n_splits)).drop("_cuts")
 
 
 def series_folds(df: DataFrame, series: Series, n_splits: int = 5, name: str = "block") -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from demandkit.functions.scalars import clip
-from demandkit.operators.joins import lookup_join, one_row
+from demandkit.operators.joins import attach_row, lookup_join
 from demandkit.operators.series import Series, parse_feature, tail_buffer
 
 BUFFER = 10
@@ -101,8 +101,8 @@ def recursive_forecast(
     if models is not None:
         shared = [c for c in keys if c not in models.columns]
         if shared:
-            single = one_row(models)
-            state = state.withColumns({c: single[c] for c in models.columns})
+            single = attach_row(state, models, "_models")
+            state = single.withColumns({c: F.col("_models")[c] for c in models.columns})
         else:
             state = lookup_join(state, models, keys)
     start = F.struct(

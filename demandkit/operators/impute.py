@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from demandkit.operators.groups import null_safe_join
-from demandkit.operators.joins import lookup_join, one_row
+from demandkit.operators.joins import attach_row, lookup_join
 from demandkit.operators.quantiles import exact_quantiles
 
 
@@ -38,8 +38,9 @@ def fit_impute(
         if aggregates and keys:
             stats = null_safe_join(train.groupBy(*keys).agg(*aggregates), stats, keys)
         elif aggregates:
-            middle = one_row(stats)
-            stats = train.agg(*aggregates).withColumns({c: middle[c] for c in medians})
+            stats = attach_row(train.agg(*aggregates), stats, "_m").withColumns(
+                {c: F.col("_m")[c] for c in medians}
+            )
     return stats.withColumns(constants).select(*keys, *how) if constants else stats.select(*keys, *how)
 
 
@@ -49,8 +50,10 @@ def apply_impute(
     """Fill nulls from fitted statistics, in place or into ``<column><suffix>``."""
     columns = [c for c in stats.columns if c not in keys]
     if not keys:
-        fill = one_row(stats)
-        return df.withColumns({c + suffix: F.coalesce(F.col(c), fill[c]) for c in columns})
+        filled = attach_row(df, stats, "_fill").withColumns(
+            {c + suffix: F.coalesce(F.col(c), F.col("_fill")[c]) for c in columns}
+        )
+        return filled.drop("_fill")
     renamed = stats.select(*keys, *[F.col(c).alias(f"_fill_{c}") for c in columns])
     joined = lookup_join(df, renamed, keys)
     filled = joined.withColumns(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from demandkit.session import checkpointed
 
@@ -55,13 +55,13 @@ def lookup_join(
     return joined.drop("_salt", *[f"_r_{c}" for c in on])
 
 
-def one_row(stats: DataFrame) -> Column:
-    """A one-row frame as a struct-valued scalar subquery.
+def attach_row(df: DataFrame, stats: DataFrame, name: str) -> DataFrame:
+    """Add the values of a one-row frame to every row, as the struct column ``name``.
 
-    The frame is computed once and its values reach the main plan as constants, so the
-    large side needs neither a join nor a shuffle.
+    It is a scalar subquery: the frame is computed once and the large side needs neither a
+    join nor a shuffle. Being a column it is planned once however many fields are used.
     """
-    return stats.select(F.struct(*stats.columns)).scalar()
+    return df.withColumn(name, stats.select(F.struct(*stats.columns)).scalar())
 
 
 def with_expected(df: DataFrame, expected: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -15,10 +15,19 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from demandkit.operators.folds import block_of, fold_cuts
-from demandkit.operators.joins import lookup_join, one_row
+from demandkit.operators.joins import attach_row, lookup_join
 from demandkit.session import checkpointed
 
 
+# Beyond this many features the products are formed by numpy per Arrow batch: hundreds of
+# separate sum aggregates cost more than moving the rows to Python workers.
+WIDE = 12
+_HELD_GROUPS = 2000
+
+# per-column numbers, a one-row frame holding them, or None for the means of the rows
+Origin = Mapping[str, float] | DataFrame | None
+
+
 def _pairs(d: int) -> list[tuple[int, int]]:
     return [(i, j) for i in range(d) for j in range(i, d)]
 
@@ -33,43 +42,90 @@ def _sum_names(features: Sequence[str]) -> list[str]:
     )
 
 
-def _constant(value: float | Column) -> Column:
-    return value if isinstance(value, Column) else F.lit(float(value))
-
-
 def cross_sums(
     df: DataFrame,
     features: Sequence[str],
     y: str,
     by: Sequence[str] = (),
-    origin: Mapping[str, float | Column] | None = None,
+    origin: Origin = None,
 ) -> DataFrame:
     """Product sums per group, taken around an origin to keep their digits.
 
-    The origin defaults to the overall means, one extra aggregate pass; pass a number or a
-    scalar per column to save it. Rows with a null feature or target are left out.
+    The origin defaults to the overall means, one extra aggregate pass; pass numbers, or a
+    one-row frame with the columns, to save it. Rows with a null feature or target are left out.
     """
     columns = [*features, y]
     rows = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns]).dropna(subset=columns)
     if origin is None:
-        center = one_row(rows.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in columns]))
-        shift = {c: center[c] for c in columns}
-    else:
-        shift = {c: _constant(origin.get(c, 0.0)) for c in columns}
+        origin = rows.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in columns])
+
+    def centered(frame: DataFrame) -> tuple[DataFrame, list[Column]]:
+        if isinstance(origin, DataFrame):
+            return attach_row(frame, origin, "_origin"), [F.col("_origin")[c] for c in columns]
+        return frame, [F.lit(float(origin.get(c, 0.0))) for c in columns]
+
+    rows, shift = centered(rows)
     moved = rows.select(
         *by,
-        *[(F.col(c) - shift[c]).alias(f"_x{i}") for i, c in enumerate(features)],
-        (F.col(y) - shift[y]).alias("_y"),
+        *[(F.col(c) - o).alias(f"_x{i}") for i, (c, o) in enumerate(zip(features, shift))],
+        (F.col(y) - shift[-1]).alias("_y"),
     )
-    xs = [F.col(f"_x{i}") for i in range(len(features))]
-    yc = F.col("_y")
+    add_up = _wide_sums if len(features) > WIDE else _plain_sums
+    # the origin joins after the aggregate: an array in its buffer would force a sort
+    totals, shift = centered(add_up(moved, len(features), by))
+    return totals.withColumns({f"o_{i}": o for i, o in enumerate(shift)}).drop("_origin")
+
+
+def _plain_sums(moved: DataFrame, d: int, by: Sequence[str]) -> DataFrame:
+    xs, yc = [F.col(f"_x{i}") for i in range(d)], F.col("_y")
     sums = [F.count(F.lit(1)).cast("double").alias("n"), F.sum(yc).alias("sy"), F.sum(yc * yc).alias("syy")]
     sums += [F.sum(x).alias(f"sx_{i}") for i, x in enumerate(xs)]
     sums += [F.sum(x * yc).alias(f"sxy_{i}") for i, x in enumerate(xs)]
-    sums += [F.sum(xs[i] * xs[j]).alias(f"sxx_{i}_{j}") for i, j in _pairs(len(xs))]
-    # the origin is added after the aggregate: an array in its buffer would force a sort
-    totals = moved.groupBy(*by).agg(*sums)
-    return totals.withColumns({f"o_{i}": shift[c] for i, c in enumerate(columns)})
+    sums += [F.sum(xs[i] * xs[j]).alias(f"sxx_{i}_{j}") for i, j in _pairs(d)]
+    return moved.groupBy(*by).agg(*sums)
+
+
+def _wide_sums(moved: DataFrame, d: int, by: Sequence[str]) -> DataFrame:
+    """The same sums from one matrix product per batch and group, merged by Spark.
+
+    A task holds the products of a limited number of groups and passes them on when there
+    are more; the final aggregate adds up whatever parts a group was split into.
+    """
+    by, width = list(by), d + 2
+    values = [f"_x{i}" for i in range(d)] + ["_y"]
+
+    def parts(held: dict) -> pd.DataFrame:
+        out = pd.DataFrame(list(held), columns=by, dtype=object if by else None)
+        return out.assign(m=[m.ravel() for m in held.values()])
+
+    def multiply(batches):
+        held: dict = {}
+        for pdf in batches:
+            z = np.column_stack([np.ones(len(pdf)), pdf[values].to_numpy(dtype=float)])
+            places = pdf.groupby(by, sort=False, dropna=False).indices if by else {(): slice(None)}
+            for key, at in places.items():
+                key = key if isinstance(key, tuple) else (key,)
+                held[key] = held.get(key, 0.0) + z[at].T @ z[at]
+            if len(held) > _HELD_GROUPS:
+                yield parts(held)
+                held = {}
+        if held:
+            yield parts(held)
+
+    keyed = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in moved.schema if f.name in by)
+    multiplied = moved.select(*[c for c in moved.columns if c in by], *values).mapInPandas(
+        multiply, keyed + "m array<double>"
+    )
+
+    def entry(i: int, j: int) -> Column:
+        return F.sum(F.get("m", F.lit(i * width + j)))
+
+    # row 0 is the constant, rows 1 to d the features, the last one the target
+    sums = [entry(0, 0).alias("n"), entry(0, d + 1).alias("sy"), entry(d + 1, d + 1).alias("syy")]
+    sums += [entry(0, i + 1).alias(f"sx_{i}") for i in range(d)]
+    sums += [entry(i + 1, d + 1).alias(f"sxy_{i}") for i in range(d)]
+    sums += [entry(i + 1, j + 1).alias(f"sxx_{i}_{j}") for i, j in _pairs(d)]
+    return multiplied.groupBy(*by).agg(*sums)
 
 
 def expanding_sums(
@@ -167,7 +223,7 @@ def fit_linear(
     by: Sequence[str] = (),
     alpha: float = 0.0,
     standardise: bool = False,
-    origin: Mapping[str, float | Column] | None = None,
+    origin: Origin = None,
 ) -> DataFrame:
     """Least squares (``alpha=0``) or ridge, one model per group."""
     return solve(cross_sums(df, features, y, by, origin), features, by, (alpha,), standardise)
@@ -196,8 +252,10 @@ def score(
     """
     xs = [F.col(c).cast("double") for c in features]
     if not by:
-        model = one_row(models.select("intercept", "coef"))
-        return df.withColumn(name, linear_value(model["intercept"], model["coef"], xs))
+        joined = attach_row(df, models.select("intercept", "coef"), "_model")
+        model = F.col("_model")
+        value = linear_value(model["intercept"], model["coef"], xs)
+        return joined.withColumn(name, value).drop("_model")
     lookup = models.select(*by, F.col("intercept").alias("_b"), F.col("coef").alias("_w"))
     joined = lookup_join(df, lookup, by, "left", bounded)
     return joined.withColumn(name, linear_value(F.col("_b"), F.col("_w"), xs)).drop("_b", "_w")
@@ -232,19 +290,15 @@ def _blocks_and_center(
     y: str,
     ts: str,
     n_splits: int,
-    origin: Mapping[str, float | Column] | None,
-) -> tuple[DataFrame, Mapping[str, float | Column]]:
+    origin: Origin,
+) -> tuple[DataFrame, Origin]:
     """Rows with their time block, and the origin, both from one aggregate."""
     columns = [] if origin is not None else [*features, y]
-    means = [
-        F.coalesce(F.avg(F.col(c).cast("double")), F.lit(0.0)).alias(f"mean_{i}")
-        for i, c in enumerate(columns)
-    ]
-    known = one_row(fold_cuts(df, ts, n_splits, means))
-    blocks = df.withColumn("block", block_of(F.col(ts), known["cuts"], n_splits))
-    if origin is None:
-        origin = {c: known[f"mean_{i}"] for i, c in enumerate(columns)}
-    return blocks, origin
+    means = [F.coalesce(F.avg(F.col(c).cast("double")), F.lit(0.0)).alias(c) for c in columns]
+    known = fold_cuts(df, ts, n_splits, means)
+    cut = attach_row(df, known, "_known")
+    blocks = cut.withColumn("block", block_of(F.col(ts), F.col("_known")["cuts"], n_splits))
+    return blocks.drop("_known"), known if origin is None else origin
 
 
 def fold_sums(
@@ -254,7 +308,7 @@ def fold_sums(
     ts: str,
     n_splits: int = 5,
     by: Sequence[str] = (),
-    origin: Mapping[str, float | Column] | None = None,
+    origin: Origin = None,
 ) -> DataFrame:
     """Materialised cross-product sums per group and time block."""
     needed = df.select(*dict.fromkeys([*by, ts, y, *features]))
@@ -320,7 +374,7 @@ def cross_validate_linear(
     by: Sequence[str] = (),
     alphas: Sequence[float] = (0.0,),
     standardise: bool = False,
-    origin: Mapping[str, float | Column] | None = None,
+    origin: Origin = None,
 ) -> DataFrame:
     """RMSE per group, penalty and fold: ``by, alpha, fold, n, sse, rmse``.
 
@@ -339,7 +393,7 @@ def out_of_fold_linear(
     n_splits: int = 5,
     alpha: float = 0.0,
     standardise: bool = False,
-    origin: Mapping[str, float | Column] | None = None,
+    origin: Origin = None,
 ) -> DataFrame:
     """Validation rows of every fold with ``fold`` and ``prediction``."""
     blocks, center = _blocks_and_center(df, features, y, ts, n_splits, origin)

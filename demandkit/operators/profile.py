@@ -192,9 +192,8 @@ def histogram(
     value = F.col(column).cast("double")
     limits = df.agg(F.min(value).alias("low"), F.max(value).alias("high"))
     step = limits.select(round_step(F.col("low"), F.col("high"), max_bins).alias("step")).scalar()
-    binned = df.filter(F.col(column).isNotNull()).select(
-        *by, F.floor(value / step).alias("_bin"), step.alias("_step")
-    )
+    stepped = df.filter(F.col(column).isNotNull()).withColumn("_step", step)
+    binned = stepped.select(*by, F.floor(value / F.col("_step")).alias("_bin"), "_step")
     counted = binned.groupBy(*by, "_bin", "_step").agg(F.count(F.lit(1)).alias("n"))
     return counted.select(
         *by,

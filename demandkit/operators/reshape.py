@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from demandkit.functions.encode import one_hot
-from demandkit.operators.joins import one_row
+from demandkit.operators.joins import attach_row
 
 MAX_CATEGORIES = 1000
 
@@ -65,13 +65,13 @@ def fit_scaler(train: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def apply_scaler(df: DataFrame, stats: DataFrame, columns: Sequence[str], suffix: str = "") -> DataFrame:
     """Standardise with fitted statistics; a constant column becomes zero."""
-    fitted = one_row(stats)
 
     def scaled(c: str):
-        spread = fitted[f"{c}__std"]
-        return (F.col(c) - fitted[f"{c}__mean"]) / F.when(spread > 0, spread).otherwise(F.lit(1.0))
+        mean, spread = F.col("_fitted")[f"{c}__mean"], F.col("_fitted")[f"{c}__std"]
+        return (F.col(c) - mean) / F.when(spread > 0, spread).otherwise(F.lit(1.0))
 
-    return df.withColumns({c + suffix: scaled(c) for c in columns})
+    fitted = attach_row(df, stats, "_fitted")
+    return fitted.withColumns({c + suffix: scaled(c) for c in columns}).drop("_fitted")
 
 
 def stack_history(history: DataFrame, future: DataFrame, flag: str = "is_future") -> DataFrame:

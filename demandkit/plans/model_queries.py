@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from demandkit.operators import evaluate, folds, forecast, linear, trees
 from demandkit.operators.choose import best_row
 from demandkit.operators.profile import target_range
+from demandkit.functions.dates import weekday_flag
+from demandkit.plans import presets
 from demandkit.plans.catalogue import day_text, query, rounded
 from demandkit.plans.derived import (
     BLOCKS_SQL,
@@ -14,8 +16,10 @@ from demandkit.plans.derived import (
     DEMAND,
     DEMAND_SQL,
     MODEL_SQL,
+    SHOP,
     demand,
     model_rows,
+    sales,
     tree_rows,
 )
 from demandkit.session import checkpointed
@@ -247,6 +251,18 @@ def m13(spark, sf):
     )
 
 
+@query("m13_preset_comparison")
+def m13_presets(spark, sf):
+    """Four features against twenty-five, standardised ridge on the same folds."""
+    rows = sales(spark, sf)
+    train, _ = _cut(rows)
+    built = presets.build_features(rows, "full_25", presets.fit_preset(train, "full_25"), SHOP)
+    both = built.withColumn("is_friday", weekday_flag(F.col("ds")))
+    sets = {name: presets.PRESETS[name] for name in ["core_4", "full_25"]}
+    made = evaluate.compare_feature_sets(both, sets, "y", "ds", alpha=1.0, standardise=True)
+    return made.select("model", "listed", "mean_rmse", "std_rmse", "pooled_rmse", "improvement")
+
+
 @query(
     "m14_ridge_path",
     f"""

@@ -34,7 +34,7 @@ from demandkit.functions.scalars import (
 from demandkit.functions.text import any_of_flag, contains_flag, keyword_flags, pattern_flags
 from demandkit.operators.calendar import with_holidays
 from demandkit.operators.impute import fit_impute
-from demandkit.operators.joins import one_row
+from demandkit.operators.joins import attach_row
 from demandkit.operators.series import Series, add_series_features, parse_feature
 
 # Labels, codes and menu words of the sales data.
@@ -290,7 +290,7 @@ def build_features(
         df = add_series_features(df, series, target, lagged)
     elif lagged:
         df = add_missing(df, {f: None for f in lagged})
-    fitted = one_row(stats)
+    df, fitted = attach_row(df, stats, "_fitted"), F.col("_fitted")
     shared, own = _shared(series.ts, fitted), _own(preset, fitted)
 
     def feature(name: str) -> Column:
