@@ -9,8 +9,9 @@ import pytest
 
 import __spark_entry__ as entry_module
 from check import TABLES, compare
+from demandkit.plans.queries import QUERIES
 
-NAMES = list(entry_module.queries())
+NAMES = list(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -32,7 +33,8 @@ def test_entry(spark):
 
 
 def test_every_twin_belongs_to_a_query():
-    assert set(entry_module.oracle_sql()) <= set(NAMES)
+    assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
+    assert set(NAMES) <= set(entry_module.queries())
 
 
 # only the linear solver, wide matrix products and the stream state start Python workers
