@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from demandkit.llm import simhash
+from demandkit.llm import line_dedup, simhash
 from demandkit.plans.catalogue import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,3 +28,25 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 @register("op2_simhash_near_dedup")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
+
+
+@register(
+    "op3_line_dedup",
+    r"""
+    WITH parts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+    lines AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM parts),
+    keyed AS (
+      SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines),
+    hot AS (SELECT k, max(doc_id) AS last FROM keyed WHERE length(k) >= 40
+            GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+    judged AS (SELECT keyed.*, hot.k IS NOT NULL AND doc_id <> last AS gone FROM keyed LEFT JOIN hot USING (k))
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+    FROM judged GROUP BY doc_id
+    """,
+)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = line_dedup.dedup_lines(docs)
+    return made.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))

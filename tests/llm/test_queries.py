@@ -1,0 +1,24 @@
+"""Every text query against its SQL twin; those without one are tested beside their operators."""
+
+from __future__ import annotations
+
+import duckdb
+import pytest
+
+from check import TABLES, compare
+from demandkit.llm.queries import QUERIES, TWINS
+
+
+@pytest.fixture(scope="module")
+def connection(sf_dir):
+    found = duckdb.connect()
+    for name in TABLES:
+        found.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
+    return found
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
+def test_query_equals_twin(spark, sf_dir, connection, name):
+    outcome = compare(spark, connection, sf_dir, name)
+    assert outcome.startswith("ok" if name in TWINS else "rows only")
+    assert "types differ" not in outcome
