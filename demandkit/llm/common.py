@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from demandkit.session import checkpointed, scratch_dir
 
-__all__ = ["arrow_map", "bounded_batches", "checkpointed", "documents", "scratch_dir", "texts", "with_marks"]
+__all__ = ["arrow_map", "bounded_batches", "checkpointed", "documents", "scratch_dir", "texts", "unused", "with_marks"]
 
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
@@ -37,12 +37,21 @@ def texts(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
-def with_marks(docs: DataFrame, doc_id: str, marks: DataFrame, name: str = "_marks") -> DataFrame:
-    """Each row of ``docs`` with the list of its marks, null where it has none.
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, made longer until the table has no column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def with_marks(docs: DataFrame, doc_id: str, marks: DataFrame) -> DataFrame:
+    """Each row of ``docs`` with the list of its marks as last column, null where it has none.
 
     ``marks`` has one row ``(doc_id, mark)`` per mark; the list of one document is bounded by its
     own text. Only the lists are built into a hash table: the texts are shuffled but not sorted.
     """
-    lists = marks.groupBy(F.col("doc_id").alias("_marked")).agg(F.collect_list("mark").alias(name))
-    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("_marked"))
-    return docs.join(lists.hint("shuffle_hash"), same, "left").drop("_marked")
+    key, name = unused(docs, "_marked"), unused(docs, "_marks")
+    lists = marks.groupBy(F.col("doc_id").alias(key)).agg(F.collect_list("mark").alias(name))
+    same = docs[doc_id].eqNullSafe(lists[key])
+    return docs.join(lists.hint("shuffle_hash"), same, "left").drop(key)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from demandkit.llm import line_dedup, simhash
+from demandkit.llm import decontaminate, line_dedup, simhash, url_filters
 from demandkit.plans.catalogue import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,76 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+_FEED_PATTERNS = r"""
+    hosts AS (SELECT DISTINCT lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1)) AS host,
+                     split_part(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1), '/', 2) AS top
+              FROM pages),
+    patterns AS (SELECT host AS pattern FROM hosts
+                 UNION SELECT regexp_replace(host, '^[^.]*[.]', '') FROM hosts
+                 UNION SELECT concat(host, '/', top, '/') FROM hosts),
+    listed AS (SELECT pattern, substr(md5(pattern), 1, 1) AS c FROM patterns WHERE pattern <> '')"""
+
+
+def _list_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dated feed made from the hosts that occur: up to four changes of mind for each pattern."""
+    url = F.col("url")
+    path_top = F.split_part(F.regexp_extract("url", url_filters._PATH, 1), F.lit("/"), F.lit(2))
+    hosts = table(spark, sf_dir, "pages").select(url_filters.url_host(url).alias("host"), path_top.alias("top")).distinct()
+    made = F.array(
+        F.col("host"), F.regexp_replace("host", "^[^.]*[.]", ""), F.concat("host", F.lit("/"), "top", F.lit("/"))
+    )
+    patterns = hosts.select(F.explode(made).alias("pattern")).where("pattern <> ''").distinct()
+    marked = patterns.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(4))))
+    code = F.md5(F.concat("pattern", F.col("n").cast("string")))
+    days = F.conv(F.substring(code, 1, 5), 16, 10).cast("int") % 400
+    named = F.element_at(F.array(*[F.lit(x) for x in ("block", "allow", "none", "block")]), F.conv(F.substring(code, 6, 1), 16, 10).cast("int") % 4 + 1)
+    return marked.where(F.substring(F.md5("pattern"), 1, 1) < "8").select(
+        F.when(F.substring(code, 7, 1) < "8", "harm").otherwise("spam").alias("list"),
+        "pattern",
+        F.date_add(F.lit("2024-01-01").cast("date"), days).alias("dated"),
+        named.alias("verdict"),
+    )
+
+
+@register(
+    "op1_url_filters",
+    f"""
+    WITH {_FEED_PATTERNS},
+    coded AS (SELECT pattern, md5(concat(pattern, CAST(n AS VARCHAR))) AS code
+              FROM listed CROSS JOIN (SELECT unnest([1, 2, 3, 4]) AS n) WHERE c < '8'),
+    feed AS (
+      SELECT CASE WHEN substr(code, 7, 1) < '8' THEN 'harm' ELSE 'spam' END AS list, pattern,
+             DATE '2024-01-01' + CAST(CAST('0x' || substr(code, 1, 5) AS INTEGER) % 400 AS INTEGER) AS dated,
+             ['block', 'allow', 'none', 'block'][CAST('0x' || substr(code, 6, 1) AS INTEGER) % 4 + 1] AS verdict
+      FROM coded),
+    once AS (SELECT list, pattern, dated, max(verdict) AS verdict FROM feed GROUP BY ALL),
+    spans AS (SELECT *, lead(dated) OVER (PARTITION BY list, pattern ORDER BY dated) AS ended FROM once),
+    captures AS (
+      SELECT page_id, url, DATE '2024-01-01' + CAST(CAST('0x' || substr(md5(CAST(page_id AS VARCHAR)), 1, 5) AS INTEGER) % 400 AS INTEGER) AS fetched,
+             lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1)) AS host,
+             lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1))
+               || regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1) AS whole
+      FROM pages),
+    met AS (
+      SELECT page_id, s.*, row_number() OVER (
+               PARTITION BY page_id ORDER BY length(pattern) DESC, s.verdict <> 'allow', list) AS place
+      FROM captures p JOIN spans s ON p.fetched >= s.dated AND (s.ended IS NULL OR p.fetched < s.ended)
+       AND s.verdict <> 'none' AND (p.host = s.pattern OR ends_with(p.host, '.' || s.pattern)
+            OR (ends_with(s.pattern, '/') AND starts_with(p.whole, s.pattern))))
+    SELECT p.page_id, p.url, strftime(p.fetched, '%Y-%m-%d') AS fetched, coalesce(m.verdict, 'none') AS verdict,
+           m.list, m.pattern, strftime(m.dated, '%Y-%m-%d') AS valid_from
+    FROM captures p LEFT JOIN (SELECT * FROM met WHERE place = 1) m USING (page_id)
+    """,
+)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures with fetch days derived from their ids, against the derived feed."""
+    days = F.conv(F.substring(F.md5(F.col("page_id").cast("string")), 1, 5), 16, 10).cast("int") % 400
+    fetched = F.date_add(F.lit("2024-01-01").cast("date"), days)
+    captures = table(spark, sf_dir, "pages").select("page_id", "url", fetched.alias("fetched"))
+    made = url_filters.filter_urls(captures, _list_feed(spark, sf_dir))
+    return made.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in ("fetched", "valid_from")})
+
+
 @register("op2_simhash_near_dedup")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
@@ -50,3 +120,24 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     made = line_dedup.dedup_lines(docs)
     return made.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@register(
+    "op5_benchmark_decontamination",
+    r"""
+    WITH split AS (
+      SELECT 0 AS side, doc_id AS id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents
+      UNION ALL
+      SELECT 1, item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda w: w <> '') FROM benchmark),
+    shingles AS (
+      SELECT DISTINCT side, id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS s
+      FROM split WHERE len(w) > 0),
+    sizes AS (SELECT id, count(*) AS n_item FROM shingles WHERE side = 1 GROUP BY 1),
+    pairs AS (SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared
+              FROM shingles d JOIN shingles i ON d.s = i.s AND d.side = 0 AND i.side = 1 GROUP BY 1, 2)
+    SELECT doc_id, item_id, n_shared, n_item, round(n_shared / n_item, 6) AS containment
+    FROM pairs JOIN sizes ON id = item_id WHERE n_shared >= 0.8 * n_item - 1e-9
+    """,
+)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

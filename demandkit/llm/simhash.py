@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from xxhash import xxh64_digest
 
-from demandkit.llm.common import arrow_map, checkpointed, documents, texts
+from demandkit.llm.common import arrow_map, checkpointed, documents, texts, unused
 from demandkit.llm.components import components
 
 SEED = 42
@@ -161,5 +161,6 @@ def keep_one_per_component(docs: DataFrame, doc_id: str = "doc_id", text: str =
     """
     found = simhash_components(docs, doc_id, text, **options)
     kept = found.where(F.col("component_id").eqNullSafe(F.col("doc_id")))
-    kept = kept.select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs[doc_id].eqNullSafe(kept["_kept"]), "left_semi")
+    key = unused(docs, "_kept")
+    kept = kept.select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(kept, docs[doc_id].eqNullSafe(F.col(key)), "left_semi")
