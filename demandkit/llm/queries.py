@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from demandkit.llm import decontaminate, line_dedup, quality, sharding, simhash, url_filters
+from demandkit.llm import decontaminate, line_dedup, quality, sharding, simhash, substring_dedup, url_filters
 from demandkit.plans.catalogue import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,6 +122,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@register("op4_substring_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @register(
     "op5_benchmark_decontamination",
     r"""
