@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from demandkit.llm import decontaminate, html_extract, line_dedup, quality, sharding, simhash, substring_dedup, url_filters
+from demandkit.llm import decontaminate, html_extract, line_dedup, quality, sharding, simhash, substring_dedup, toxicity, url_filters
 from demandkit.plans.catalogue import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -153,6 +153,15 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_text(table(spark, sf_dir, "pages"))
 
 
+@register("op8_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train_on(docs, table(spark, sf_dir, "labels"))
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
+    held = toxicity.held_out(F.col("doc_id"))
+    return toxicity.score_documents(docs, model).select("doc_id", held.alias("held_out"), "score", predicted.alias("predicted"), "n_windows")
+
+
 @register("op9_quality_rules")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(table(spark, sf_dir, "documents"))

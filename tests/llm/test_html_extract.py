@@ -33,7 +33,7 @@ SCHEMA = "page_id long, url string, html string"
         ("cut off</p", ["cut off"]),
         ("<script>never closed <p>x", []),
         ("<!-- never closed <p>x", []),
-        ("<SCRIPT>a</SCRIPT>b<textarea>c</textarea>d", ["b", "d"]),
+        ("<SCRIPT>a</SCRIPT>b<textarea>c</textarea>d", ["bd"]),
         ("<div>" * 3000 + "deep", ["deep"]),
     ],
 )
