@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from demandkit.llm import decontaminate, html_extract, line_dedup, quality, sharding, simhash, substring_dedup, toxicity, url_filters
+from demandkit.llm import decontaminate, html_extract, line_dedup, quality, segmentation, sharding, simhash, substring_dedup, toxicity, url_filters
 from demandkit.plans.catalogue import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -148,6 +148,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@register("op6_sentencepiece_sampling")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segmentation.sample_segmentations(table(spark, sf_dir, "documents"))
+
+
 @register("op7_html_extraction")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_text(table(spark, sf_dir, "pages"))
