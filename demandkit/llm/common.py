@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from demandkit.session import checkpointed, scratch_dir
 
-__all__ = ["arrow_map", "bounded_batches", "checkpointed", "documents", "scratch_dir", "texts", "unused", "with_marks"]
+__all__ = ["arrow_map", "bounded_batches", "checkpointed", "documents", "hash_sample", "scratch_dir", "texts", "unused", "with_marks"]
 
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
@@ -37,6 +37,18 @@ def texts(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
+def hash_sample(rows: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """At most ``n`` rows, those with the smallest hashes of ``keys``.
+
+    Rows are counted first, and only those whose hash is small enough to come into question are
+    ordered: what tasks send to the driver does not grow with their number.
+    """
+    hashed = F.xxhash64(F.lit(17), *keys)
+    share = min(1.0, (2 * n + 100) / max(1, rows.count()))
+    small = rows.where(F.shiftrightunsigned(hashed, 11) / F.lit(float(1 << 53)) < share)
+    return small.orderBy(hashed, *keys).limit(n)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, made longer until the table has no column of that name."""
     taken = {c.lower() for c in df.columns}

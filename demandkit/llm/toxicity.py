@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from demandkit.llm import gru
-from demandkit.llm.common import arrow_map, documents
+from demandkit.llm.common import arrow_map, documents, hash_sample
 
 WINDOW = 32
 STRIDE = 16
@@ -248,9 +248,9 @@ def train_on(
     The sample are the ids with the smallest hashes; only these few ids are sent to the documents.
     """
     ids = labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_y")).dropna().where(~held_out(F.col("_id")))
-    ids = ids.groupBy("_id").agg(F.max("_y").alias("_y")).withColumn("_h", F.xxhash64("_id"))
-    parts = [ids.where(F.col("_y") == y).orderBy("_h", "_id").limit(n) for y, n in ((1, toxic), (0, clean))]
-    chosen = parts[0].union(parts[1]).select("_id", "_y")
+    ids = ids.groupBy("_id").agg(F.max("_y").alias("_y"))
+    parts = [hash_sample(ids.where(F.col("_y") == y), ["_id"], n) for y, n in ((1, toxic), (0, clean))]
+    chosen = parts[0].union(parts[1])
     some = documents(docs, doc_id, text).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
     rows = sorted((r.doc_id, r.text or "", r._y) for r in some.select("doc_id", "text", "_y").collect())
     return train([t for _, t, _ in rows], [y for _, _, y in rows])
