@@ -21,8 +21,9 @@ from demandkit.operators.linear import (
 )
 from demandkit.session import checkpointed
 
-# fit_fn(train rows) returns a function that adds ``prediction`` to any rows
-FitFn = Callable[[DataFrame], Callable[[DataFrame], DataFrame]]
+# fit_fn(train rows, validation rows) returns a function that adds ``prediction`` to any rows; the
+# validation rows are there for models that stop by them, others leave them alone
+FitFn = Callable[[DataFrame, DataFrame], Callable[[DataFrame], DataFrame]]
 
 
 def rmse_of(y: Column, prediction: Column) -> Column:
@@ -36,10 +37,15 @@ def rmse(df: DataFrame, y: str, prediction: str, by: Sequence[str] = ()) -> Data
 
 
 def fold_summary(folds: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Mean and population std of the fold errors, and the error pooled over all rows."""
-    pooled = F.sqrt(F.sum(F.col("n") * F.col("rmse") * F.col("rmse")) / F.sum("n"))
+    """Mean and population std of the fold errors, and the error pooled over all rows judged.
+
+    Folds without an error, as nothing came before them, are counted in ``n_untrained`` only.
+    """
+    judged = F.when(F.col("rmse").isNotNull(), F.col("n"))
+    pooled = F.sqrt(F.sum(F.col("n") * F.col("rmse") * F.col("rmse")) / F.sum(judged))
     return folds.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n_folds"),
+        F.count("rmse").alias("n_folds"),
+        F.count_if(F.col("rmse").isNull()).alias("n_untrained"),
         F.avg("rmse").alias("mean_rmse"),
         F.stddev_pop("rmse").alias("std_rmse"),
         pooled.alias("pooled_rmse"),
@@ -80,7 +86,8 @@ def _score_folds(blocks: DataFrame, fit_fn: FitFn, n_splits: int, parallelism: i
 
     def run(part: tuple[int, DataFrame, DataFrame]) -> DataFrame:
         fold, train, validation = part
-        scored = fit_fn(train.drop("block"))(validation.drop("block"))
+        train, validation = train.drop("block"), validation.drop("block")
+        scored = fit_fn(train, validation)(validation)
         return scored.withColumn("fold", F.lit(fold))
 
     with ThreadPoolExecutor(parallelism) as pool:
@@ -182,3 +189,8 @@ def search(
         trials, "trial int, params string, mean_rmse double, std_rmse double"
     )
     return frame.orderBy(F.col("mean_rmse").asc_nulls_last(), "trial")
+
+
+def best_params(found: DataFrame, candidates: Sequence[dict]) -> dict:
+    """The parameters of the best trial of a ``search`` over these candidates."""
+    return candidates[found.orderBy(F.col("mean_rmse").asc_nulls_last(), "trial").first()["trial"]]

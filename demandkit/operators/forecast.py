@@ -58,11 +58,15 @@ def buffer_feature(name: str, buffer: Column) -> Column | None:
 def frozen_lags(
     history: DataFrame, future: DataFrame, series: Series, y: str, names: Sequence[str]
 ) -> DataFrame:
-    """Future rows with series features frozen at the end of the history."""
+    """Future rows with series features frozen at the end of the history.
+
+    As many last values are looked at as the longest feature asks for.
+    """
     features = {name: buffer_feature(name, F.col("buffer")) for name in names}
     if any(c is None for c in features.values()):
         raise ValueError(f"not all of {list(names)} are series features")
-    last = tail_buffer(history, series, y, BUFFER).select(
+    look = max([parse_feature(name)[1] for name in names], default=1)
+    last = tail_buffer(history, series, y, max(BUFFER, look)).select(
         *series.keys, *[c.alias(n) for n, c in features.items()]
     )
     return lookup_join(future, last, series.keys)

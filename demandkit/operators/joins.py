@@ -6,53 +6,31 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from demandkit.session import checkpointed
-
-BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 16
-
-
-def json_bytes(df: DataFrame) -> int:
-    """Size of a materialised frame, written out as text."""
-    width = F.octet_length(F.to_json(F.struct("*")))
-    return df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"]
+KINDS = ("inner", "left", "left_semi", "left_anti")
 
 
 def lookup_join(
-    df: DataFrame,
-    dim: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    bounded: bool = False,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    df: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left", bounded: bool = False
 ) -> DataFrame:
     """Join ``df`` to a lookup frame with at most one row per key.
 
-    ``bounded`` says the lookup is small by construction (calendar days, folds, columns).
-    Otherwise it is materialised and measured: up to ``broadcast_bytes`` it is broadcast,
-    beyond that every key is spread over ``SALTS`` partitions, so one hot key of ``df``
-    never ends up in a single task (identical rows share a salt; adaptive execution splits
-    those). Keys compare null-safe: a null group finds its row.
+    ``bounded`` says the lookup is small by construction (calendar days, folds, columns): it is
+    broadcast. Otherwise it is a plain join, for which adaptive execution picks the form from the
+    sizes it has measured and splits hot keys of ``df``. Only joins that keep or drop rows of ``df``
+    are allowed: the others would not survive that split. Keys compare null-safe: a null group
+    finds its row.
     """
+    if how not in KINDS:
+        raise ValueError(f"how must be one of {KINDS}")
     on = list(on)
-    salted = False
-    if not bounded:
-        dim = checkpointed(dim)
-        salted = json_bytes(dim) > broadcast_bytes
     values = [c for c in dim.columns if c not in on]
     right = dim.select(*[F.col(c).alias(f"_r_{c}") for c in on], *values)
-    left = df
-    if salted:
-        left = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
-        right = right.withColumn("_r__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        on = [*on, "_salt"]
-    else:
+    if bounded:
         right = F.broadcast(right)
     condition = F.lit(True)
     for c in on:
         condition = condition & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
-    joined = left.join(right, condition, how)
-    return joined.drop("_salt", *[f"_r_{c}" for c in on])
+    return df.join(right, condition, how).drop(*[f"_r_{c}" for c in on])
 
 
 def attach_row(df: DataFrame, stats: DataFrame, name: str) -> DataFrame:

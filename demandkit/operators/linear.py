@@ -9,6 +9,7 @@ inside tasks; no group's rows are ever gathered.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -340,13 +341,20 @@ def fold_errors(
     alphas: Sequence[float] = (0.0,),
     standardise: bool = False,
 ) -> DataFrame:
-    """RMSE per group, penalty and fold from the sums alone: ``by, alpha, fold, n, sse, rmse``."""
+    """RMSE per group, penalty and fold from the sums alone: ``by, alpha, fold, n, sse, rmse``.
+
+    A group that has no rows before a fold has no model there: ``n`` counts its rows, the errors
+    are null.
+    """
     by, d = list(by), len(features)
     train = expanding_sums(sums, features, n_splits, by)
     validation = sums.filter("block > 0").select(
         *by, F.col("block").alias("fold"), *_packed(sums, features, "v_")
     )
-    both = train.select(*by, "fold", *_packed(train, features)).join(validation, [*by, "fold"])
+    keyed_on = [*by, "fold"]
+    trained = train.select(*[F.col(c).alias(f"_t_{c}") for c in keyed_on], *_packed(train, features))
+    same = reduce(lambda a, b: a & b, [validation[c].eqNullSafe(trained[f"_t_{c}"]) for c in keyed_on])
+    both = validation.join(trained, same).drop(*[f"_t_{c}" for c in keyed_on])
     penalties = F.explode(F.array(*[F.lit(float(a)) for a in alphas])).alias("alpha")
     fields = [f for f in sums.schema if f.name in by]
     keyed = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields)
@@ -362,7 +370,12 @@ def fold_errors(
 
     schema = keyed + "alpha double, fold int, v_n double, sse double, rmse double"
     scored = both.select("*", penalties).mapInPandas(evaluate, schema)
-    return scored.withColumn("v_n", F.col("v_n").cast("long")).withColumnRenamed("v_n", "n")
+    scored = scored.withColumn("v_n", F.col("v_n").cast("long")).withColumnRenamed("v_n", "n")
+    # a group without rows before a fold has no model for it: its rows count, its error is null
+    untrained = validation.join(trained, same, "left_anti").select(
+        *by, penalties, "fold", F.col("v_n").cast("long").alias("n"), *[F.lit(None).cast("double").alias(c) for c in ("sse", "rmse")]
+    )
+    return scored.select(*by, "alpha", "fold", "n", "sse", "rmse").unionByName(untrained)
 
 
 def cross_validate_linear(

@@ -1,9 +1,12 @@
 """Exact quantiles that never gather a group in one task.
 
 Spark's ``percentile`` merges all distinct values of a group in one task. Here a histogram
-over narrow value buckets locates the bucket that holds the wanted rank, and only the
-values of that bucket are ranked. The bucket is a pure function of the value, so a recomputed task agrees with the
-first run, and it only steers the work: the result is exact whatever the distribution.
+over narrow value buckets locates the bucket that holds the wanted rank. While such a bucket holds
+many rows, as timestamps or prices in a narrow band do, it is cut into cells between its smallest
+and largest value, and the cell that holds the rank takes its place. Only the values of the last
+bucket or cell are ranked. Buckets and cells are pure functions of the data, so a recomputed task
+agrees with the first run, and they only steer the work: the result is exact whatever the
+distribution.
 """
 
 from __future__ import annotations
@@ -14,12 +17,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from demandkit.operators.joins import BROADCAST_BYTES, json_bytes
 from demandkit.session import checkpointed
 
-# Buckets per doubling of the value: a group's histogram stays below a few million rows
-# while a bucket holds about a hundred-thousandth of its values.
-_BUCKETS_PER_OCTAVE = float(2**16)
+# Targets (one per group, column and wanted rank, of about a hundred bytes) that are broadcast;
+# more of them are joined by shuffling.
+BROADCAST_ROWS = 100_000
+# Rows of a bucket that may be ranked together; a larger one is cut into cells.
+RANKED_ROWS = 100_000
+_CELLS = 4096
+# Buckets per doubling of the value: enough for values spread over some octaves, few enough for
+# a group's histogram to be small.
+_BUCKETS_PER_OCTAVE = float(2**12)
 # keeps log2 of the smallest positive double above zero
 _LOG_SHIFT = 1100.0
 
@@ -103,7 +111,8 @@ def exact_quantiles(
         long = wide.select(*keys, F.inline(pairs))
 
     rows = long.filter(F.col("_v").isNotNull()).withColumn("_b", _bucket(F.col("_v")))
-    histogram = rows.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("_bc"))
+    bounds = [F.min("_v").alias("_from"), F.max("_v").alias("_to")]
+    histogram = rows.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("_bc"), *bounds)
     ranks = _wanted_ranks(probs, method, F.col("n"))
     holds_a_rank = reduce(
         lambda a, b: a | b, [(F.col("_lo") <= r) & (r < F.col("_hi")) for r in ranks]
@@ -114,19 +123,35 @@ def exact_quantiles(
         .filter(holds_a_rank)
         .withColumn("_rank", F.explode(F.array_distinct(F.array(*ranks))))
         .filter("_lo <= _rank AND _rank < _hi")
-        .select(*group, "_b", "_rank", "n", F.col("_lo").alias("_base"))
+        .select(*group, "_b", "_rank", "n", F.col("_lo").alias("_base"), "_from", "_to", "_bc")
     )
-    # few target buckets by construction without keys, otherwise measured
-    small = not keys
-    if not small:
-        targets = checkpointed(targets)
-        small = json_bytes(targets) <= BROADCAST_BYTES
+    targets = checkpointed(targets)
+    most = F.max(F.when(F.col("_from") < F.col("_to"), F.col("_bc")))
+    n_targets, worst = targets.agg(F.count(F.lit(1)), most).first()
+    small = n_targets <= BROADCAST_ROWS
     if small:
         # a second scan that keeps the target buckets is cheaper than shuffling the values
         rows = rows.withColumn("_c", F.lit(1).cast("long"))
     else:
         # shrink to distinct values; the bucket in the join key keeps a large group spread
         rows = rows.groupBy(*group, "_b", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    while (worst or 0) > RANKED_ROWS:
+        width = F.col("_to") - F.col("_from")
+        cell = F.floor((F.col("_v") - F.col("_from")) / F.when(width > 0, width).otherwise(1.0) * _CELLS)
+        cells = (
+            _match(rows, targets, [*group, "_b"], small)
+            .withColumn("_cell", cell)
+            .groupBy(*group, "_b", "n", "_rank", "_base", "_cell")
+            .agg(F.sum("_c").alias("_bc"), *bounds)
+        )
+        targets = checkpointed(
+            _ranked_slice(cells, [*group, "_rank"], "_cell", "_bc", F.col("_base"))
+            .filter("_lo <= _rank AND _rank < _hi")
+            .select(*group, "_b", "_rank", "n", F.col("_lo").alias("_base"), "_from", "_to", "_bc")
+        )
+        before, worst = worst, targets.agg(most).first()[0]
+        if worst == before:  # values too close for a cell of their own
+            break
     candidates = (
         _match(rows, targets, [*group, "_b"], small)
         .groupBy(*group, "n", "_rank", "_base", "_v")
@@ -142,13 +167,14 @@ def exact_quantiles(
 
 
 def _match(rows: DataFrame, targets: DataFrame, on: Sequence[str], small: bool) -> DataFrame:
-    """Keep the values of the wanted buckets, once per wanted rank."""
+    """Keep the values between the bounds of the wanted buckets, once per wanted rank."""
     right = targets.select(
         *[F.col(c).alias(f"_t_{c}") for c in on], *[c for c in targets.columns if c not in on]
     )
     condition = F.lit(True)
     for c in on:
         condition = condition & F.col(c).eqNullSafe(F.col(f"_t_{c}"))
+    condition = condition & F.col("_v").between(F.col("_from"), F.col("_to"))
     joined = rows.join(F.broadcast(right) if small else right, condition)
     return joined.drop(*[f"_t_{c}" for c in on])
 

@@ -9,14 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from demandkit.functions.encode import one_hot
 from demandkit.operators.joins import attach_row
 
-MAX_CATEGORIES = 1000
-
-
-def learn_categories(train: DataFrame, column: str, max_categories: int = MAX_CATEGORIES) -> list:
+def learn_categories(train: DataFrame, column: str, max_categories: int) -> list:
     """Sorted distinct values of a training column.
 
-    Each value becomes a column, so the list has to be short; a longer one is an error
-    rather than a silently cut list.
+    Each value becomes a column, so the caller says how many there may be; a longer list is an
+    error rather than a silently cut one.
     """
     values = train.select(column).distinct().dropna().limit(max_categories + 1).collect()
     if len(values) > max_categories:

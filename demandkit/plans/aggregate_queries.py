@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from demandkit.functions import dates, scalars
 from demandkit.operators import choose, groups, impute, profile, reshape
+from demandkit.operators.quantiles import exact_quantiles
 from demandkit.plans import presets
 from demandkit.plans.catalogue import day_text, query, rounded, table
 from demandkit.plans.derived import CUT, DEMAND_SQL, ONE_SERIES_SQL, SALES_SQL, demand, demand_all, sales
@@ -389,11 +390,27 @@ def a18(spark, sf):
     return points.select("temperature", "kcal", "shop", day_text())
 
 
+@query(
+    "a4_quartiles_of_event_times",
+    """
+    SELECT event_type, count(*) AS n, quantile_cont(CAST(epoch(ts) AS DOUBLE), 0.25) AS q25,
+           quantile_cont(CAST(epoch(ts) AS DOUBLE), 0.5) AS q50, quantile_cont(CAST(epoch(ts) AS DOUBLE), 0.75) AS q75
+    FROM (SELECT event_type, date_trunc('second', ts) AS ts FROM events) e GROUP BY 1
+    """,
+)
+def a4_times(spark, sf):
+    """Values in a narrow band far from zero."""
+    seconds = F.unix_timestamp(F.date_trunc("second", "ts")).cast("double")
+    events = table(spark, sf, "events").select("event_type", seconds.alias("second"))
+    made = exact_quantiles(events, ["second"], [0.25, 0.5, 0.75], ["event_type"])
+    return made.select("event_type", "n", *[F.col("q")[i].alias(f"q{p}") for i, p in enumerate((25, 50, 75))])
+
+
 @query(
     "a18_scatter_sample",
     """
     SELECT l_quantity, l_extendedprice, l_orderkey, l_linenumber FROM lineitem
-    WHERE (CAST('0x' || substr(md5('7:' || CAST(l_orderkey AS VARCHAR)), 1, 8) AS BIGINT) % 10000) / 100.0 < 10
+    WHERE CAST('0x' || substr(md5('7:' || CAST(l_orderkey AS VARCHAR)), 1, 8) AS BIGINT) * (100.0 / 4294967296) < 10
     """,
 )
 def a18_sample(spark, sf):
@@ -518,7 +535,7 @@ _TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 @query("r1_one_hot_learned", f"SELECT p_partkey, {_hot_sql('p_type', _TYPES, 'type')} FROM part")
 def r1(spark, sf):
     part = table(spark, sf, "part")
-    categories = reshape.learn_categories(part, "p_type")
+    categories = reshape.learn_categories(part, "p_type", 100)
     return reshape.add_one_hot(part.select("p_partkey", "p_type"), "p_type", categories, "type").drop("p_type")
 
 
@@ -576,12 +593,9 @@ def r4(spark, sf):
     """,
 )
 def r5(spark, sf):
-    """Seven weekday results held by the driver as a mapping, turned back into rows."""
-    per_day = demand(spark, sf).groupBy(F.weekday("ds").cast("string").alias("day"))
-    means = per_day.agg(F.avg("y").alias("mean"), F.max("y").alias("max"))
-    results = {r["day"]: {"mean": r["mean"], "max": r["max"]} for r in means.collect()}
-    made = reshape.rows_frame(spark, results, "model", "model string, mean double, max long")
-    return made.withColumn("mean", F.round("mean", 6))
+    """One row per result, without a way through the driver."""
+    per_day = demand(spark, sf).groupBy(F.weekday("ds").cast("string").alias("model"))
+    return per_day.agg(rounded(F.avg("y"), "mean"), F.max("y").alias("max"))
 
 
 @query(

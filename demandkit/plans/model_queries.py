@@ -325,15 +325,23 @@ tails AS (SELECT f.series, coalesce(buf, CAST([] AS DOUBLE[])) AS buf
 @query(
     "m17_frozen_lags",
     f"""
-    WITH {DEMAND_SQL}, {_TAILS_SQL}
-    SELECT series, strftime(ds, '%Y-%m-%d') AS ds, buf[-1] AS lag_1, round(list_avg(buf[-5:]), 6) AS rolling_mean_5
-    FROM fut JOIN tails USING (series)
+    WITH {DEMAND_SQL}, {_TAILS_SQL},
+    frozen AS (
+      SELECT series, max(y) FILTER (rn = 1) AS lag_1, avg(y) FILTER (rn <= 5) AS m5,
+             CASE WHEN max(rn) >= 14 THEN max(y) FILTER (rn = 14) ELSE avg(y) FILTER (rn <= 28) END AS lag_14,
+             avg(y) FILTER (rn <= 28) AS m28
+      FROM hist GROUP BY 1)
+    SELECT series, strftime(ds, '%Y-%m-%d') AS ds, CAST(lag_1 AS DOUBLE) AS lag_1, round(m5, 6) AS rolling_mean_5,
+           CAST(lag_14 AS DOUBLE) AS lag_14, round(m28, 6) AS rolling_mean_28
+    FROM fut JOIN frozen USING (series)
     """,
 )
 def m17(spark, sf):
     history, future = _cut(demand(spark, sf))
-    made = forecast.frozen_lags(history, future.drop("y"), DEMAND, "y", _TWO)
-    return made.select("series", day_text(), "lag_1", rounded("rolling_mean_5", "rolling_mean_5"))
+    names = [*_TWO, "lag_14", "rolling_mean_28"]
+    made = forecast.frozen_lags(history, future.drop("y"), DEMAND, "y", names)
+    means = [rounded(c, c) for c in ("rolling_mean_5", "rolling_mean_28")]
+    return made.select("series", day_text(), "lag_1", "lag_14", *means)
 
 
 # the walk: buf holds the newest ten values, newest last
@@ -509,13 +517,27 @@ def m9(spark, sf):
 
 
 def _forest(params):
-    def fit(train):
+    def fit(train, validation):
         model = trees.fit_forest(train, _TREE, "y", **params)
         return lambda rows: trees.score_trees(rows, model, _TREE)
 
     return fit
 
 
+@query("m10_early_stopping_in_folds")
+def m10_early_stopping(spark, sf):
+    """Boosting that stops in every fold by the rows of that fold: rounds and error per fold."""
+
+    def fit(train, validation):
+        model = trees.fit_boosted(train, _TREE, "y", validation=validation, validationTol=0.01, maxIter=12, maxDepth=2)
+        return lambda rows: trees.score_trees(rows, model, _TREE).withColumn("rounds", F.lit(model.getNumTrees))
+
+    scored = evaluate.out_of_fold(tree_rows(spark, sf), fit, "ds", n_splits=3)
+    return scored.groupBy("fold", "rounds").agg(
+        F.count(F.lit(1)).alias("n"), evaluate.rmse_of(F.col("y"), F.col("prediction")).alias("rmse")
+    )
+
+
 @query("m10_cross_validation_forest")
 def m10_forest(spark, sf):
     rows = tree_rows(spark, sf)
@@ -539,12 +561,8 @@ def m15_trees(spark, sf):
     return trees.importance_table(spark, model, _TREE)
 
 
-@query("m18_recursive_forecast_trees")
-def m18_trees(spark, sf):
-    """The walk with a boosted ensemble, scored inside the JVM, bounded to the training range."""
-    train, _ = _cut(tree_rows(spark, sf))
-    history, future = _cut(demand(spark, sf))
-    model = trees.fit_boosted(train, _TREE, "y", **_SMALL_BOOST)
+def _forecast_by_trees(spark, sf, history, future, model, depth):
+    """The walk with an ensemble, scored inside the JVM, bounded to the training range."""
     future = _future_calendar(future).withColumn("month", F.month("ds"))
     ensemble = trees.trees_frame(spark, model)
     limits = target_range(history, "y").select(
@@ -552,8 +570,27 @@ def m18_trees(spark, sf):
     )
     made = forecast.recursive_forecast(
         history, future, DEMAND, "y", _TREE,
-        lambda xs: trees.trees_value(F.col("trees"), F.array(*xs), _SMALL_BOOST["maxDepth"]),
+        lambda xs: trees.trees_value(F.col("trees"), F.array(*xs), depth),
         ensemble.select("trees", limits.select(F.struct("low", "high")).scalar().alias("bounds")),
         F.col("bounds.low"), F.col("bounds.high"),
     )
     return made.select("series", day_text(), "prediction")
+
+
+@query("m18_recursive_forecast_trees")
+def m18_trees(spark, sf):
+    train, _ = _cut(tree_rows(spark, sf))
+    history, future = _cut(demand(spark, sf))
+    model = trees.fit_boosted(train, _TREE, "y", **_SMALL_BOOST)
+    return _forecast_by_trees(spark, sf, history, future, model, _SMALL_BOOST["maxDepth"])
+
+
+@query("m14_search_then_forecast")
+def m14_then_forecast(spark, sf):
+    """Search on the rows before the cut, refit with the best parameters, forecast what follows."""
+    train, _ = _cut(tree_rows(spark, sf))
+    history, future = _cut(demand(spark, sf))
+    candidates = [{"numTrees": 3, "maxDepth": d} for d in (2, 3)]
+    found = evaluate.search(spark, train, _forest, candidates, "y", "ds", n_splits=2)
+    best = evaluate.best_params(found, candidates)
+    return _forecast_by_trees(spark, sf, history, future, trees.fit_forest(train, _TREE, "y", **best), best["maxDepth"])

@@ -216,8 +216,8 @@ def m1_series(spark, sf):
 @query(
     "m2_random_holdout",
     """
-    SELECT o_orderkey, CASE WHEN (CAST('0x' || substr(md5('42:' || CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT)
-                                  % 10000) / 100.0 < 20 THEN 1 ELSE 0 END AS held_out
+    SELECT o_orderkey, CASE WHEN CAST('0x' || substr(md5('42:' || CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT)
+                                  * (100.0 / 4294967296) < 20 THEN 1 ELSE 0 END AS held_out
     FROM orders
     """,
 )

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from demandkit.plans.catalogue import day_text, query, rounded
+from demandkit.plans.catalogue import day_text, query, rounded, table
+from demandkit.session import new_folder
 from demandkit.streaming import daily
 
 # Days are closed one day after the newest event: the watermark of an append-mode stream.
@@ -14,8 +15,8 @@ _CLOSED_SQL = """closed AS (
 _STREAM_FEATURES = ["lag_1", "lag_5", "rolling_mean_5", "rolling_std_5", "lag_diff"]
 
 
-def _closed_days(spark, sf):
-    events = daily.read_stream(spark, sf, "events.parquet")
+def _closed_days(spark, path):
+    events = daily.read_stream(spark, path)
     stream = daily.daily_demand_stream(events, "ts", ["event_type"], "1 day")
     return daily.run_available(stream, "daily")
 
@@ -25,7 +26,19 @@ def _closed_days(spark, sf):
     f"WITH {_CLOSED_SQL} SELECT event_type, strftime(ds, '%Y-%m-%d') AS ds, y FROM closed",
 )
 def x1(spark, sf):
-    return spark.read.parquet(_closed_days(spark, sf)).select("event_type", day_text(), "y")
+    return spark.read.parquet(_closed_days(spark, f"{sf}/events.parquet")).select("event_type", day_text(), "y")
+
+
+@query(
+    "x1_daily_demand_many_files",
+    f"WITH {_CLOSED_SQL} SELECT event_type, strftime(ds, '%Y-%m-%d') AS ds, y FROM closed",
+)
+def x1_many_files(spark, sf):
+    """The events as a table of part files, dealt by hash: no file is older than another."""
+    folder = new_folder(spark, "events")
+    events = table(spark, sf, "events").select("event_id", "ts", "event_type")
+    events.repartition(8, "event_id").write.parquet(folder)
+    return spark.read.parquet(_closed_days(spark, folder)).select("event_type", day_text(), "y")
 
 
 _P = "PARTITION BY event_type ORDER BY ds"
@@ -45,7 +58,7 @@ _P = "PARTITION BY event_type ORDER BY ds"
 )
 def x2(spark, sf):
     """The closed days of the first stream feed a second one that keeps ten values per series."""
-    days = daily.read_closed_days(spark, _closed_days(spark, sf))
+    days = daily.read_closed_days(spark, _closed_days(spark, f"{sf}/events.parquet"))
     out = daily.run_available(daily.feature_stream(days, "event_type", _STREAM_FEATURES), "features")
     made = spark.read.parquet(out)
     return made.select("event_type", day_text(), "y", *[rounded(c, c) for c in _STREAM_FEATURES])

@@ -22,11 +22,15 @@ def submission_frame(df: DataFrame, ts: str, prediction: str, integer: bool = Tr
 def write_submission(
     df: DataFrame, path: str, ts: str, prediction: str, integer: bool = True, single_file: bool = False
 ) -> None:
-    """Headerless CSV in date order. ``single_file`` is for small results only."""
-    ordered = df.orderBy(F.col(ts).asc_nulls_last())
-    frame = submission_frame(ordered, ts, prediction, integer)
+    """Headerless CSV in date order. ``single_file`` is for small results only.
+
+    What computes ``df`` keeps its parallelism: only the finished rows come together in one task.
+    """
     if single_file:
-        frame = submission_frame(df.coalesce(1).sortWithinPartitions(ts), ts, prediction, integer)
+        ordered = df.select(ts, prediction).repartition(1).sortWithinPartitions(F.col(ts).asc_nulls_last())
+    else:
+        ordered = df.orderBy(F.col(ts).asc_nulls_last())
+    frame = submission_frame(ordered, ts, prediction, integer)
     frame.write.mode("overwrite").option("header", False).csv(path)
 
 

@@ -15,13 +15,22 @@ from demandkit.session import new_folder
 BUFFER = 10
 
 
-def read_stream(
-    spark: SparkSession, folder: str, pattern: str = "*.parquet", max_files: int = 100
-) -> DataFrame:
-    """Parquet files of a folder as a stream, a bounded number of files per batch."""
-    schema = spark.read.option("pathGlobFilter", pattern).parquet(folder).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
-    return reader.option("maxFilesPerTrigger", max_files).parquet(folder)
+class LateRows(RuntimeError):
+    """A stream left out rows that came later than its watermark allows."""
+
+
+def read_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """A parquet table, one file or a folder of part files, as a stream.
+
+    Without ``max_files`` all files that are there make one batch, so that the order of files
+    cannot make rows late. A cap is for tables whose files are written in the order of time.
+    """
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    # as a pattern the path may be a file as well as a folder: else a stream takes it for a folder
+    whole = path.rstrip("/")
+    return reader.parquet(f"{whole[:-1]}[{whole[-1]}]")
 
 
 def read_closed_days(spark: SparkSession, folder: str) -> DataFrame:
@@ -36,7 +45,11 @@ def read_closed_days(spark: SparkSession, folder: str) -> DataFrame:
 def daily_demand_stream(
     events: DataFrame, ts: str, keys: Sequence[str], delay: str = "1 day", name: str = "y"
 ) -> DataFrame:
-    """Events per series and day; a day is emitted once, when the watermark has passed it."""
+    """Events per series and day; a day is emitted once, when the watermark has passed it.
+
+    Rows that come in a later batch than the one that closed their day are dropped by the stream;
+    ``run_available`` raises if there are any.
+    """
     # day windows are cut at UTC midnight: move the local clock there and back
     zone = F.current_timezone()
     local = events.withColumn("_clock", F.from_utc_timestamp(F.col(ts).cast("timestamp"), zone))
@@ -49,8 +62,15 @@ def daily_demand_stream(
     return windowed.select(*keys, day.alias("ds"), name)
 
 
-def run_available(stream: DataFrame, name: str) -> str:
-    """Process what is there, in append mode; returns the shared folder written to."""
+def dropped_rows(progress: dict) -> int:
+    return sum(int(s.get("numRowsDroppedByWatermark", 0)) for s in progress.get("stateOperators", ()))
+
+
+def run_available(stream: DataFrame, name: str, allow_late: bool = False) -> str:
+    """Process what is there, in append mode; returns the shared folder written to.
+
+    Raises ``LateRows`` if the watermark dropped rows, unless the caller allows that.
+    """
     out = new_folder(stream.sparkSession, name)
     query = (
         stream.writeStream.format("parquet")
@@ -60,7 +80,15 @@ def run_available(stream: DataFrame, name: str) -> str:
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
+    dropped: dict[int, int] = {}
+    while True:
+        ended = query.awaitTermination(1)
+        for progress in map(dict, query.recentProgress):  # holds the newest hundred only
+            dropped[progress["batchId"]] = dropped_rows(progress)
+        if ended:
+            break
+    if sum(dropped.values()) and not allow_late:
+        raise LateRows(f"{name}: {sum(dropped.values())} rows or groups came after their day was closed")
     return f"{out}/data"
 
 

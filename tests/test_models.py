@@ -71,6 +71,33 @@ def test_cross_validation_equals_refits(frame, rows):
             assert got[(alpha, fold)] == pytest.approx(np.sqrt(np.mean(error**2)), rel=1e-6)
 
 
+def test_series_that_starts_late_keeps_its_folds(spark):
+    """Rows of a fold that nothing came before are counted, without an error."""
+    rng = random.Random(5)
+    rows = [("a", DAY0 + dt.timedelta(days=i), rng.random(), rng.random()) for i in range(60)]
+    rows += [("b", DAY0 + dt.timedelta(days=i), rng.random(), rng.random()) for i in range(31, 60)]
+    rows += [(None, DAY0 + dt.timedelta(days=i), rng.random(), rng.random()) for i in range(60)]
+    df = spark.createDataFrame(rows, "k string, ds date, x double, y double")
+    folds_of_all = linear.cross_validate_linear(df, ["x"], "y", "ds", by=["k"], alphas=(0.0, 1.0))
+    got = {(r["k"], r["alpha"], r["fold"]): (r["n"], r["rmse"]) for r in folds_of_all.collect()}
+    for alpha in (0.0, 1.0):
+        assert [f for k, a, f in sorted(got, key=str) if (k, a) == ("b", alpha)] == [3, 4, 5]
+        assert got["b", alpha, 3][0] == 9 and got["b", alpha, 3][1] is None
+        assert all(got[k, alpha, f][1] > 0 for k in ("a", None) for f in range(1, 6)) and got["b", alpha, 4][1] > 0
+    summary = {(r["k"], r["alpha"]): r for r in evaluate.fold_summary(folds_of_all, ["k", "alpha"]).collect()}
+    assert (summary["b", 1.0]["n_folds"], summary["b", 1.0]["n_untrained"]) == (2, 1)
+    judged = [got["b", 1.0, f] for f in (4, 5)]
+    pooled = np.sqrt(sum(n * r * r for n, r in judged) / sum(n for n, _ in judged))
+    assert summary["b", 1.0]["pooled_rmse"] == pytest.approx(pooled)
+
+
+def test_frozen_lags_look_back_as_far_as_asked(spark):
+    history = spark.createDataFrame([("s", DAY0 + dt.timedelta(days=i), float(i)) for i in range(40)], "k string, ds date, y double")
+    future = spark.createDataFrame([("s", DAY0 + dt.timedelta(days=40))], "k string, ds date")
+    made = forecast.frozen_lags(history, future, Series(("k",)), "y", ["lag_14", "rolling_mean_28"]).first()
+    assert (made["lag_14"], made["rolling_mean_28"]) == (26.0, 25.5)
+
+
 def test_out_of_fold_agrees_with_summed_errors(frame):
     oof = linear.out_of_fold_linear(frame, FEATURES, "y", "ds", alpha=2.0)
     scored = {r["fold"]: r["rmse"] for r in evaluate.rmse(oof, "y", "prediction", ["fold"]).collect()}
@@ -199,14 +226,16 @@ def test_search_and_candidates(spark, frame):
     assert first == again and all(1 <= c["n"] <= 3 and 1e-3 <= c["l"] <= 1e3 for c in first)
 
     def make_fit(params):
-        def fit(train):
+        def fit(train, validation):
             model = linear.fit_linear(train, FEATURES, "y", alpha=params["alpha"])
             return lambda rows: linear.score(rows, model, FEATURES)
 
         return fit
 
     candidates = [{"alpha": 1e6}, {"alpha": 0.1}]
-    got = evaluate.search(spark, frame, make_fit, candidates, "y", "ds", n_splits=2).collect()
+    found = evaluate.search(spark, frame, make_fit, candidates, "y", "ds", n_splits=2)
+    assert evaluate.best_params(found, candidates) == {"alpha": 0.1}
+    got = found.collect()
     assert got[0]["trial"] == 1 and got[0]["mean_rmse"] < got[1]["mean_rmse"]
 
 

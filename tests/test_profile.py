@@ -14,10 +14,11 @@ from demandkit.operators.quantiles import exact_quantiles
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
 
 
-@pytest.mark.parametrize("seed,limit", [(1, 1 << 26), (2, -1)])
-def test_quantiles_match_numpy(spark, monkeypatch, seed, limit):
-    """With targets that are broadcast, and with targets too large for it."""
-    monkeypatch.setattr(quantiles, "BROADCAST_BYTES", limit)
+@pytest.mark.parametrize("seed,limit,ranked", [(1, 1 << 20, 1 << 20), (2, -1, 1 << 20), (3, 1 << 20, 3), (4, -1, 3)])
+def test_quantiles_match_numpy(spark, monkeypatch, seed, limit, ranked):
+    """With targets that are broadcast or too many for it, with buckets ranked at once or cut into cells."""
+    monkeypatch.setattr(quantiles, "BROADCAST_ROWS", limit)
+    monkeypatch.setattr(quantiles, "RANKED_ROWS", ranked)
     rng = random.Random(seed)
     rows = [
         (rng.choice(["a", "b", None]), rng.choice([rng.gauss(0, 1e3), rng.gauss(0, 1e-3), 0.0, 7.0]))
@@ -38,6 +39,26 @@ def test_quantiles_match_numpy(spark, monkeypatch, seed, limit):
     assert np.allclose(whole["q"], np.quantile([x for _, x in rows], PROBS))
 
 
+def test_quantiles_of_a_narrow_band_rank_few_rows(spark, monkeypatch):
+    """A day of epoch seconds: one value bucket holds them all until it is cut."""
+    monkeypatch.setattr(quantiles, "RANKED_ROWS", 500)
+    handed = []
+    ranked = quantiles._ranked_slice
+    monkeypatch.setattr(quantiles, "_ranked_slice", lambda rows, part, *a: handed.append((rows, part)) or ranked(rows, part, *a))
+    df = spark.range(60_000).select((F.lit(1.7e9) + F.pmod(F.xxhash64("id"), F.lit(86_400))).alias("x"))
+    got = exact_quantiles(df, ["x"], [0.25, 0.5]).first()["q"]
+    assert got == np.quantile([r["x"] for r in df.collect()], [0.25, 0.5]).tolist()
+    rows, part = handed[-1]  # the distinct values that are ranked at the end
+    assert rows.groupBy(*part).count().agg(F.max("count")).first()[0] <= 500
+
+
+def test_small_shares_of_a_hash_sample(spark):
+    keys = spark.range(400_000).select((F.pmod(F.xxhash64("id"), F.lit(1 << 40))).alias("k"))
+    share = keys.where(profile.hash_percent(F.col("k")) < 0.01).count()
+    assert 15 <= share <= 75
+    assert keys.where(profile.hash_percent(F.col("k")) < 0.001).count() <= 15
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.floats(allow_nan=False, allow_infinity=False, width=32), min_size=1, max_size=30))
 def test_median_property(spark, numbers):
@@ -135,14 +156,17 @@ def test_impute_fit_never_sees_test_rows(spark):
     assert mixed.first().asDict() == {"x": pytest.approx(14 / 3), "k": "none"}
 
 
-def test_lookup_join_salted_equals_broadcast(spark):
+def test_lookup_join_shuffled_equals_broadcast(spark):
     rows = [(i, None if i % 10 == 0 else "hot" if i % 3 else "cold") for i in range(300)]
     df = spark.createDataFrame(rows, "i int, k string")
     dim = spark.createDataFrame([("hot", 1), ("cold", 2), (None, 3)], "k string, v int")
     plain = joins.lookup_join(df, dim, ["k"], bounded=True)
-    salted = joins.lookup_join(df, dim, ["k"], broadcast_bytes=0)
-    assert sorted(map(str, plain.collect())) == sorted(map(str, salted.collect()))
-    assert salted.filter("k IS NULL AND v = 3").count() == 30
+    shuffled = joins.lookup_join(df, dim.hint("merge"), ["k"])
+    assert sorted(map(str, plain.collect())) == sorted(map(str, shuffled.collect()))
+    assert shuffled.filter("k IS NULL AND v = 3").count() == 30
+    for how in ("full", "right", "cross"):
+        with pytest.raises(ValueError):
+            joins.lookup_join(df, dim, ["k"], how)
 
 
 def test_choose_ties(spark):
@@ -159,7 +183,7 @@ def test_reshape(spark):
     left, right = reshape.align_columns(train, test, target="y")
     assert left.columns == ["k", "snow", "y", "rain"] and right.columns == ["k", "snow", "rain"]
     assert right.first().asDict() == {"k": "b", "snow": 0, "rain": 1}
-    assert reshape.learn_categories(train, "k") == ["a"]
+    assert reshape.learn_categories(train, "k", 10) == ["a"]
     with pytest.raises(ValueError):
         reshape.learn_categories(train.unionByName(train.withColumn("k", F.lit("z"))), "k", 1)
     flat = spark.createDataFrame([(1.0, 3.0), (3.0, 3.0)], "a double, b double")
@@ -173,7 +197,7 @@ def test_expected_and_missing_keys(spark, monkeypatch):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "k string, v int")
     expected = spark.createDataFrame([("a",), ("a",), ("z",)], "k string")
     assert sorted(r["v"] for r in joins.with_expected(df, expected, ["k"]).collect()) == [1, 2]
-    semi = joins.lookup_join(df, expected.distinct(), ["k"], "left_semi", broadcast_bytes=0)
+    semi = joins.lookup_join(df, expected.distinct(), ["k"], "left_semi")
     assert sorted(r["v"] for r in semi.collect()) == [1, 2]
     assert [r["k"] for r in joins.missing_keys(expected, df, ["k"]).collect()] == ["z"]
 

@@ -85,3 +85,34 @@ def test_streams_equal_batch_over_many_files(spark, tmp_path):
         for r in df.collect()
     )
     assert shown(got) == shown(wanted)
+
+
+def _scattered_events(spark, path, files):
+    """Events of 20 days, dealt to files by hash: every file has rows of every day."""
+    start = dt.datetime(2024, 1, 1)
+    rows = [(i, "ab"[i % 2], start + dt.timedelta(hours=i * 7919 % 480)) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, k string, ts timestamp")
+    df.repartition(files, "id").write.parquet(path)
+    newest = max(r[2] for r in rows)
+    whole = daily_series(df, "ts", ["k"])
+    return whole.filter(F.col("ds") <= F.lit((newest - dt.timedelta(days=2)).date()))
+
+
+def test_stream_over_a_folder_loses_nothing(spark, tmp_path):
+    expected = _scattered_events(spark, str(tmp_path / "table"), 8)
+    events = daily.read_stream(spark, str(tmp_path / "table"))
+    out = daily.run_available(daily.daily_demand_stream(events, "ts", ["k"], "1 day"), "daily")
+    closed = spark.read.parquet(out)
+    assert closed.exceptAll(expected).count() == 0 and expected.exceptAll(closed).count() == 0
+
+
+@pytest.mark.parametrize("cap", [1, 2])
+def test_capped_stream_raises_instead_of_losing_rows(spark, tmp_path, cap):
+    _scattered_events(spark, str(tmp_path / "table"), 8)
+    events = daily.read_stream(spark, str(tmp_path / "table"), max_files=cap)
+    stream = daily.daily_demand_stream(events, "ts", ["k"], "1 day")
+    with pytest.raises(daily.LateRows):
+        daily.run_available(stream, "daily")
+    events = daily.read_stream(spark, str(tmp_path / "table"), max_files=cap)
+    stream = daily.daily_demand_stream(events, "ts", ["k"], "1 day")
+    assert spark.read.parquet(daily.run_available(stream, "daily", allow_late=True)).count() > 0
