@@ -17,6 +17,7 @@ from demandkit.plans.derived import (
     DEMAND_SQL,
     MODEL_SQL,
     SHOP,
+    calendar,
     demand,
     model_rows,
     sales,
@@ -263,6 +264,23 @@ def m13_presets(spark, sf):
     return made.select("model", "listed", "mean_rmse", "std_rmse", "pooled_rmse", "improvement")
 
 
+@query("m13_published_sets")
+def m13_published(spark, sf):
+    """Four features, eleven with holidays, thirteen with lags, and the published four, on the same folds."""
+    rows, days = sales(spark, sf), calendar(spark, sf)
+    train, _ = _cut(rows)
+    names = ["core_4", "holiday_11", "lagged_13", "published_4"]
+    keys = ["shop", "ds"]
+    built = presets.build_features(rows, "lagged_13", presets.fit_preset(train, "lagged_13"), SHOP, calendar=days)
+    # the same name may mean another thing in another set: bad weather by rain, or by its label
+    other = presets.build_features(rows, "published_4", presets.fit_preset(train, "published_4"), SHOP, target=None)
+    both = built.join(other.select(*keys, *[F.col(c).alias(f"{c}_4") for c in ("is_otanoshimi", "is_bad_weather")]), keys)
+    sets = {name: list(presets.PRESETS[name]) for name in names}
+    sets["published_4"] = ["month", "temperature", "is_otanoshimi_4", "is_bad_weather_4"]
+    made = evaluate.compare_feature_sets(both, sets, "y", "ds", alpha=1.0, standardise=True)
+    return made.select("model", "listed", "mean_rmse", "std_rmse", "pooled_rmse", "improvement")
+
+
 @query(
     "m14_ridge_path",
     f"""

@@ -91,7 +91,9 @@ _WEATHER_HOT = [f"weather_{w}" for w in WEATHER]
 _MONTH_THIRDS = ["is_beginning_of_month", "is_middle_of_month", "is_end_of_month"]
 _SERIES = ["lag_1", "lag_5", "rolling_mean_5", "rolling_mean_10", "rolling_std_5", "lag_diff"]
 
+# The feature lists, in model order.
 PRESETS: dict[str, list[str]] = {
+    "published_4": ["month", "temperature", "is_otanoshimi", "is_bad_weather"],
     "core_4": ["year", "month", "temperature", "is_friday"],
     "compact_5": ["month", "dayofweek", "temperature", "is_bad_weather", "is_special_menu"],
     "codes_9": [
@@ -102,6 +104,10 @@ PRESETS: dict[str, list[str]] = {
         "year", "month", "temperature", "is_friday", "dayofweek", "is_curry", "is_bad_weather",
         "event", "payday", "is_holiday", "is_next_holiday",
     ],
+    "lagged_13": [
+        "year", "month", "temperature", "is_friday", "dayofweek", "is_curry", "is_bad_weather",
+        "event", "payday", "is_holiday", "is_next_holiday", "lag_1", "rolling_mean_5",
+    ],
     "codes_12": [
         "year", "month", "day", "weekday", "is_holiday", "week_encoded", "weather_encoded",
         "soldout", "payday", "kcal", "precipitation", "temperature",
@@ -118,7 +124,7 @@ PRESETS: dict[str, list[str]] = {
     ],
     "cyclic_31": [
         "month", "dayofweek", "is_friday", "month_sin", "month_cos", *_WEEK_HOT,
-        *[f"weather_{w}" for w in WEATHER if w != "雷電"], "is_bad_weather",
+        "weather_快晴", "weather_晴れ", "weather_曇", "weather_薄曇", "weather_雨", "weather_雪", "is_bad_weather",
         "kcal_filled", "temp_filled", "precipitation_num",
         *[f"menu_{m}" for m in MENU_WORDS],
         "has_remarks", "event_flag", "payday_flag", "soldout_flag",
@@ -136,7 +142,8 @@ PRESETS: dict[str, list[str]] = {
         "remarks_flag", "is_curry", "is_donburi", *[f"menu_{m}" for m in TUNED_PATTERNS],
         "is_otanoshimi", "is_bad_weather", "is_bad_weather_cold", "is_holiday",
         "is_next_holiday", *_MONTH_THIRDS, "is_summer", "is_winter", "is_friday",
-        "is_friday_curry", "lag_1", "lag_5", "lag_7", *_SERIES[2:],
+        "is_friday_curry", "lag_1", "lag_5", "lag_7", "rolling_mean_5",
+        "rolling_mean_10", "rolling_std_5", "lag_diff",
     ],
 }
 
@@ -251,12 +258,12 @@ def _shared(ts: str, stats: Column) -> dict[str, Callable[[], Column]]:
 def _own(preset: str, stats: Column) -> dict[str, Column]:
     """Features whose meaning is the preset's own."""
     name, remarks = F.col("name"), F.col("remarks")
-    if preset == "holiday_11":
+    if preset in ("holiday_11", "lagged_13"):
         rain = sentinel_number(F.col("precipitation"), SENTINELS, "zero")
         return {"is_bad_weather": flag(rain > 0)}
     if preset in ("compact_5", "full_25"):
         return {"is_special_menu": any_of_flag(remarks, CHEF_WORDS)}
-    if preset == "codes_9":
+    if preset in ("codes_9", "published_4"):
         return {"is_otanoshimi": contains_flag(remarks, FUN_MENU)}
     if preset == "codes_12":
         rain = sentinel_number(F.col("precipitation"), SENTINELS, "null")

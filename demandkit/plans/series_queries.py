@@ -331,10 +331,11 @@ _SQL_FEATURES = {
     "rolling_std_5": _mean_before(5, "stddev_samp"),
     "lag_diff": "lag(y, 1) OVER w - lag(y, 2) OVER w",
 }
+_RAINY = "CASE WHEN TRY_CAST(nullif(precipitation, '--') AS DOUBLE) > 0 THEN 1 ELSE 0 END"
 _SQL_OWN = {
-    "holiday_11": {
-        "is_bad_weather": "CASE WHEN TRY_CAST(nullif(precipitation, '--') AS DOUBLE) > 0 THEN 1 ELSE 0 END"
-    },
+    "holiday_11": {"is_bad_weather": _RAINY},
+    "lagged_13": {"is_bad_weather": _RAINY},
+    "published_4": {"is_otanoshimi": _has("remarks", "お楽しみ")},
     "compact_5": {"is_special_menu": _has("remarks", "お楽しみ", "料理長")},
     "full_25": {"is_special_menu": _has("remarks", "お楽しみ", "料理長")},
     "codes_9": {"is_otanoshimi": _has("remarks", "お楽しみ")},

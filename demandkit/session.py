@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting falls back to a temporary folder;
-    on a cluster a machine-local folder would lose data with the machine.
+    Only a session within one process falls back to a temporary folder if that is unset; on any
+    cluster, a local one too, executors do not see each other's folders.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="demandkit-")
     if context.getCheckpointDir() is None:
