@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
@@ -42,50 +41,41 @@ def score_trees(df: DataFrame, model, features: Sequence[str], name: str = "pred
     return scored.drop("features")
 
 
-_TREE = re.compile(r"Tree \d+ \(weight ([^)]+)\)")
-_SPLIT = re.compile(r"If \(feature (\d+) <= ([^)]+)\)")
-_LEAF = re.compile(r"Predict: (\S+)")
-
 TREES_SCHEMA = (
     "trees array<struct<weight: double, nodes: array<struct<"
     "feature: int, threshold: double, left: int, right: int, value: double>>>>"
 )
 
 
+def _nodes_of(root) -> list[tuple]:
+    """The nodes below a fitted tree's root, parents first; raises on a kind of node it does not know."""
+    nodes: list[list] = []
+    todo = [(root, -1, 0)]
+    while todo:
+        node, parent, side = todo.pop()
+        if parent >= 0:
+            nodes[parent][side] = len(nodes)
+        kind = node.getClass().getSimpleName()
+        if kind == "LeafNode":
+            nodes.append([-1, 0.0, -1, -1, float(node.prediction())])
+            continue
+        split = node.split()
+        if kind != "InternalNode" or split.getClass().getSimpleName() != "ContinuousSplit":
+            raise TypeError(f"cannot read {kind} with {split.getClass().getSimpleName()}")
+        at = len(nodes)
+        nodes.append([int(split.featureIndex()), float(split.threshold()), -1, -1, 0.0])
+        todo += [(node.rightChild(), at, 3), (node.leftChild(), at, 2)]
+    return [tuple(n) for n in nodes]
+
+
 def tree_nodes(model) -> list[tuple[float, list[tuple]]]:
     """Trees of a fitted ensemble as ``(weight, [(feature, threshold, left, right, value)])``.
 
-    Read from the model's printed form; a leaf has feature -1. Node 0 is the root.
+    A leaf has feature -1. Node 0 is the root.
     """
-    trees: list[tuple[float, list]] = []
-    open_splits: list[int] = []
-    nodes: list[list] = []
-    for line in model.toDebugString.splitlines():
-        text = line.strip()
-        if start := _TREE.match(text):
-            nodes = []
-            trees.append((float(start.group(1)), nodes))
-            open_splits = []
-            continue
-        split, leaf = _SPLIT.match(text), _LEAF.match(text)
-        if not (split or leaf):
-            continue
-        if open_splits:
-            # a split's first child is its left one; it closes with its right one
-            parent = nodes[open_splits[-1]]
-            if parent[2] < 0:
-                parent[2] = len(nodes)
-            else:
-                parent[3] = len(nodes)
-                open_splits.pop()
-        if split:
-            open_splits.append(len(nodes))
-            nodes.append([int(split.group(1)), float(split.group(2)), -1, -1, 0.0])
-        else:
-            nodes.append([-1, 0.0, -1, -1, float(leaf.group(1))])
-    averaged = hasattr(model, "getSubsamplingRate") and "RandomForest" in type(model).__name__
-    total = sum(w for w, _ in trees) if averaged else 1.0
-    return [(w / total, [tuple(n) for n in nodes]) for w, nodes in trees]
+    weights = [float(w) for w in model.treeWeights]
+    total = sum(weights) if "RandomForest" in type(model).__name__ else 1.0
+    return [(w / total, _nodes_of(t._java_obj.rootNode())) for w, t in zip(weights, model.trees)]
 
 
 def trees_frame(spark: SparkSession, model) -> DataFrame:

@@ -521,6 +521,78 @@ def m8(spark, sf):
     return trees.score_trees(test, model, _TREE).select("series", day_text(), "y", "prediction")
 
 
+# A tree with one split, over all rows and features, has a closed form: of all cuts between
+# neighbouring values the one that leaves the smallest squared error, with the mean on either side.
+_STUMP = ["dayofweek", "month", "lag_1", "lag_5"]
+_STUMP_ROWS_SQL = f"""{DEMAND_SQL},
+feat AS (SELECT series, ds, CAST(y AS DOUBLE) AS y, isodow(ds) - 1 AS dayofweek, month(ds) AS month,
+                lag(y, 1) OVER w AS lag_1, lag(y, 5) OVER w AS lag_5
+         FROM demand WINDOW w AS (PARTITION BY series ORDER BY ds)),
+clean AS (SELECT * FROM feat WHERE lag_5 IS NOT NULL)"""
+
+
+def _stump_sql(rows: str, by: str) -> str:
+    """The best cut for each ``by`` of the training rows."""
+    long = " UNION ALL ".join(
+        f"SELECT {by}, {i} AS feature, CAST({name} AS DOUBLE) AS x, y FROM {rows}" for i, name in enumerate(_STUMP)
+    )
+    return f"""long AS ({long}),
+cells AS (SELECT {by}, feature, x, count(*) AS n, sum(y) AS s FROM long GROUP BY ALL),
+cuts AS (SELECT {by}, feature, (x + lead(x) OVER w) / 2 AS threshold, sum(n) OVER w AS nl, sum(s) OVER w AS sl,
+                sum(n) OVER (PARTITION BY {by}, feature) AS n, sum(s) OVER (PARTITION BY {by}, feature) AS s
+         FROM cells WINDOW w AS (PARTITION BY {by}, feature ORDER BY x)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY
+             round(sl * sl / nl + (s - sl) * (s - sl) / (n - nl), 6) DESC, feature, threshold) AS place
+           FROM cuts WHERE threshold IS NOT NULL),
+best AS (SELECT {by}, feature, threshold, sl / nl AS low, (s - sl) / (n - nl) AS high FROM ranked WHERE place = 1)"""
+
+
+_ONE_STUMP_SQL = f"""WITH {_STUMP_ROWS_SQL},
+train AS (SELECT 1 AS g, * FROM clean WHERE ds < DATE '{CUT}'), {_stump_sql("train", "g")}
+SELECT feature, threshold, round(low, 6) AS low, round(high, 6) AS high FROM best"""
+_WHOLE = {"featureSubsetStrategy": "all", "subsamplingRate": 1.0, "maxDepth": 1, "maxBins": 1024}
+
+
+def _stump_rows(spark, model):
+    ((_, ((feature, threshold, left, right, _), *rest)),) = trees.tree_nodes(model)
+    values = [n[4] for n in rest]
+    return spark.createDataFrame(
+        [(feature, threshold, round(values[left - 1], 6), round(values[right - 1], 6))],
+        "feature int, threshold double, low double, high double",
+    )
+
+
+@query("m7_forest_of_one_split", _ONE_STUMP_SQL)
+def m7_stump(spark, sf):
+    train, _ = _cut(tree_rows(spark, sf))
+    return _stump_rows(spark, trees.fit_forest(train, _STUMP, "y", numTrees=1, bootstrap=False, **_WHOLE))
+
+
+@query("m8_one_round_of_one_split", _ONE_STUMP_SQL)
+def m8_stump(spark, sf):
+    train, _ = _cut(tree_rows(spark, sf))
+    return _stump_rows(spark, trees.fit_boosted(train, _STUMP, "y", maxIter=1, **_WHOLE))
+
+
+@query(
+    "m10_cross_validation_one_split",
+    f"""
+    WITH {_STUMP_ROWS_SQL}, {BLOCKS_SQL}, {_stump_sql("training", "fold")}
+    SELECT CAST(fold AS INTEGER) AS fold, count(*) AS n, round(sqrt(avg(power(y - CASE WHEN
+             CASE feature WHEN 0 THEN dayofweek WHEN 1 THEN month WHEN 2 THEN lag_1 ELSE lag_5 END <= threshold
+             THEN low ELSE high END, 2))), 6) AS rmse
+    FROM placed JOIN best ON best.fold = placed.block GROUP BY 1
+    """,
+)
+def m10_stump(spark, sf):
+    def fit(train, validation):
+        model = trees.fit_forest(train, _STUMP, "y", numTrees=1, bootstrap=False, **_WHOLE)
+        return lambda rows: trees.score_trees(rows, model, _STUMP)
+
+    scores = evaluate.cross_validate(tree_rows(spark, sf), fit, "y", "ds")
+    return scores.select("fold", "n", rounded("rmse", "rmse"))
+
+
 @query("m9_early_stopping")
 def m9(spark, sf):
     """Rows before the cut train, rows after it decide when boosting stops."""
