@@ -18,6 +18,7 @@ CHAR_DIM = 8
 ATTENTION = 8
 CHAR_BUCKETS = 1 << 14
 NGRAMS = (3, 4, 5)
+_WORDS_AT_ONCE = 1 << 14
 
 Params = dict[str, np.ndarray]
 
@@ -25,8 +26,15 @@ Params = dict[str, np.ndarray]
 def ngram_buckets(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the character n-grams of all words, marked at both ends, and where each word's start.
 
-    A word too short for the shortest n-gram has one, itself with its marks.
+    A word of one character has one n-gram, itself with its marks. Words are taken some thousands
+    at a time, which bounds the memory in between.
     """
+    parts = [_ngram_buckets(words[i : i + _WORDS_AT_ONCE]) for i in range(0, len(words), _WORDS_AT_ONCE)]
+    sizes = np.cumsum([0, *(len(b) for b, _ in parts)])
+    return np.concatenate([b for b, _ in parts]), np.concatenate([s + n for (_, s), n in zip(parts, sizes)])
+
+
+def _ngram_buckets(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     text = "".join(f"\x02{w}\x03" for w in words)
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     sizes = np.array([len(w) + 2 for w in words], np.int64)
@@ -42,7 +50,7 @@ def ngram_buckets(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
             mixed = (rolling[at] ^ (rolling[at] >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
             made.append((mixed >> np.uint64(40)) % np.uint64(CHAR_BUCKETS))
             of.append(owner[at])
-    buckets, of = np.concatenate(made).astype(np.int64), np.concatenate(of)
+    buckets, of = np.concatenate(made).astype(np.int32), np.concatenate(of)
     order = np.argsort(of, kind="stable")
     starts = np.searchsorted(of[order], np.arange(len(words)))
     return buckets[order], starts
@@ -51,8 +59,13 @@ def ngram_buckets(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
 def mean_rows(table: np.ndarray, buckets: np.ndarray, starts: np.ndarray) -> np.ndarray:
     if not len(starts):
         return np.zeros((0, table.shape[1]), table.dtype)
-    sizes = np.diff(np.append(starts, len(buckets)))
-    return np.add.reduceat(table[buckets], starts, axis=0) / np.maximum(sizes, 1)[:, None].astype(table.dtype)
+    ends = np.append(starts[1:], len(buckets))
+    made = np.empty((len(starts), table.shape[1]), table.dtype)
+    for i in range(0, len(starts), _WORDS_AT_ONCE):
+        s, e = starts[i : i + _WORDS_AT_ONCE], ends[i : i + _WORDS_AT_ONCE]
+        sums = np.add.reduceat(table[buckets[s[0] : e[-1]]], s - s[0], axis=0)
+        made[i : i + len(s)] = sums / (e - s)[:, None].astype(table.dtype)
+    return made
 
 
 def _sums(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:

@@ -36,8 +36,8 @@ SMALL = 1000  # a sample of fewer documents also calibrates on those it learns f
 STEPS = 90  # per round, at least
 HIDE_WORDS = 0.3
 _WORD = re.compile(r"\w+")
-_BATCH_CHARS = 1 << 20
-_STEP_WINDOWS = 4096
+_BATCH_CHARS = 1 << 19
+_STEP_WINDOWS = 2048
 _PIECE_WORDS = 1 << 17
 
 
@@ -112,8 +112,9 @@ def _log_odds(present: np.ndarray, toxic: int, clean: int) -> np.ndarray:
 
 def _first_vectors(p: gru.Params, w: Windows, doc_y: np.ndarray, learn: np.ndarray) -> None:
     """Start each word and n-gram vector at how much more often toxic documents have it."""
-    pairs = np.unique((w.doc[:, None] * len(w.known) + w.ids)[w.mask > 0])
-    pairs = pairs[learn[pairs // len(w.known)]]
+    parts = np.array_split(np.flatnonzero(learn[w.doc]), 16)  # windows of one document may lie in two parts
+    pairs = [np.unique((w.doc[x, None] * len(w.known) + w.ids[x])[w.mask[x] > 0]) for x in parts]
+    pairs = np.unique(np.concatenate(pairs))
     doc, word = pairs // len(w.known), pairs % len(w.known)
     counts = [(learn & (doc_y == y)).sum() for y in (1, 0)]
     present = np.stack([np.bincount(word[doc_y[doc] == y], minlength=len(w.known)) for y in (1, 0)])
@@ -146,7 +147,8 @@ def train(texts: Sequence[str], labels: Sequence[int], rounds: int = ROUNDS, epo
     _first_vectors(p, w, y, learn)
     rows = gru.inputs(p, w.known, w.buckets, w.starts)
     # before the first round a window is as bad as its worst word
-    logits = np.where(w.mask > 0, (rows[:, 0] + rows[:, gru.WORD_DIM])[w.ids], -9).max(axis=1)
+    logits = np.where(w.mask > 0, (rows[:, 0] + rows[:, gru.WORD_DIM])[w.ids], np.float32(-9)).max(axis=1)
+    del rows
     adam = gru.Adam(p, 0.01)
     for _ in range(rounds):
         order = np.lexsort((-logits, w.doc))
