@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from demandkit.llm.boosting import BoostedTrees, fit
-from demandkit.llm.common import arrow_map
+from demandkit.llm.common import arrow_map, hash_sample
 from demandkit.llm.dom import Page, read
 
 #: Pages whose texts are used to put the training pages together, and how many of these are made.
@@ -237,13 +237,13 @@ def extract_text(
     """``(page_id, url, text, n_chars)``, one row for each row of ``pages``.
 
     The model is fitted on the driver from at most ``train_pages`` pages, those with the smallest
-    hash of their source. A null source counts as empty and has the text ''; rows with null ids or
+    hash of id and url. A null source counts as empty and has the text ''; rows with null ids or
     urls and repeated rows are read like others; other columns are not carried. Pages are read
     whole, a batch of them at a time, however long.
     """
     base = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(source).alias("html"))
-    some = base.select(F.xxhash64("html").alias("h"), "html").where("html IS NOT NULL AND length(html) < 100000")
-    sample = [r.html for r in some.orderBy("h", "html").limit(train_pages).collect()]
+    readable = base.where("html IS NOT NULL AND length(html) < 100000")
+    sample = sorted(r.html for r in hash_sample(readable, ["page_id", "url"], train_pages).collect())
     kinds = {f.name: f.dataType.simpleString() for f in base.schema}
     schema = f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long"
     return arrow_map(base, partial(_extract_batches, model=train(sample)), schema)
