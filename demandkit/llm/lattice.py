@@ -15,8 +15,10 @@ beginning, the lattice of a text is a chain of small ones, and each distinct one
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 
@@ -32,10 +34,13 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def uniforms(seed: np.ndarray, draw: int, place: np.ndarray) -> np.ndarray:
-    """Numbers in (0, 1) that depend on a row's seed, the draw and the place in the row, and on nothing else."""
-    start = np.uint64((draw + 1) * int(_GOLD) % (1 << 64))
-    bits = _mix(_mix(seed + start) + _GOLD * (place.astype(np.uint64) + np.uint64(1)))
+def uniforms(seed: np.ndarray, draw: int, place: np.ndarray, row: np.ndarray | None = None) -> np.ndarray:
+    """Numbers in (0, 1) that depend on a row's seed, the draw and the place in the row, and on nothing else.
+
+    ``row`` says which seed each place belongs to; without it they go side by side.
+    """
+    start = _mix(seed + np.uint64((draw + 1) * int(_GOLD) % (1 << 64)))
+    bits = _mix((start if row is None else start[row]) + _GOLD * (place.astype(np.uint64) + np.uint64(1)))
     return ((bits >> np.uint64(40)).astype(np.float64) + 0.5) / (1 << 24)
 
 
@@ -44,7 +49,7 @@ class Vocabulary:
     """Pieces as a hash table of their code points, with log probabilities, and the bytes they decode to."""
 
     longest: int
-    slots: np.ndarray  # piece id or -1
+    slots: np.ndarray  # piece id; -2 for the beginning of a piece that is none itself; -1 if empty
     hashes: np.ndarray
     log_p: np.ndarray  # by id
     byte_ids: np.ndarray  # id of each byte
@@ -63,15 +68,21 @@ class Vocabulary:
         log_p = -np.log(1 - np.minimum(scores, 0)) if ranked else scores.copy()
         top = log_p[used].max()
         log_p -= top + np.log(np.exp(log_p[used] - top).sum())
-        size = 1 << max(10, int(used.sum() * 4 - 1).bit_length())
-        slots, hashes = np.full(size, -1, np.int32), np.zeros(size, np.uint64)
+        entries: dict[int, int] = {}
         for i in np.flatnonzero(used).tolist():
-            h = np.uint64(0)
-            with np.errstate(over="ignore"):
-                for c in pieces[i]:
-                    h = h * _BASE + np.uint64(ord(c) + 1)
-                at = int(_mix(h) >> np.uint64(64 - size.bit_length() + 1))
-            while slots[at] >= 0:
+            h = 0
+            for n, c in enumerate(pieces[i], 1):
+                h = (h * int(_BASE) + ord(c) + 1) % (1 << 64)
+                if n == len(pieces[i]):
+                    entries[h] = i
+                else:
+                    entries.setdefault(h, -2)
+        size = 1 << max(10, (len(entries) * 4 - 1).bit_length())
+        slots, hashes = np.full(size, -1, np.int32), np.zeros(size, np.uint64)
+        keys = np.array(list(entries), np.uint64)
+        places = (_mix(keys) >> np.uint64(64 - size.bit_length() + 1)).tolist()
+        for h, at, i in zip(keys, places, entries.values()):
+            while slots[at] != -1:
                 at = (at + 1) % size
             slots[at], hashes[at] = i, h
         decoded = [p.replace(SPACE, " ").encode() for p in pieces]
@@ -100,14 +111,14 @@ class Vocabulary:
         return cls.of([m.id_to_piece(i) if p else "" for i, p in enumerate(plain)], scores, byte_ids, ranked)
 
     def find(self, h: np.ndarray) -> np.ndarray:
-        """Piece ids of hashes of code points, -1 where there is none."""
+        """Piece ids of hashes of code points; -2 where a piece only begins so, -1 where none does."""
         at = (_mix(h) >> np.uint64(64 - len(self.slots).bit_length() + 1)).astype(np.int64)
         found = self.slots[at]
-        open_ = np.flatnonzero((found >= 0) & (self.hashes[at] != h))
+        open_ = np.flatnonzero((found != -1) & (self.hashes[at] != h))
         while len(open_):
             at[open_] = (at[open_] + 1) % len(self.slots)
             found[open_] = self.slots[at[open_]]
-            open_ = open_[(found[open_] >= 0) & (self.hashes[at[open_]] != h[open_])]
+            open_ = open_[(found[open_] != -1) & (self.hashes[at[open_]] != h[open_])]
         return found
 
     def decode(self, ids: Sequence[int]) -> str:
@@ -117,65 +128,72 @@ class Vocabulary:
 
 @dataclass
 class Lattice:
-    """The lattices of distinct words, one position after the other.
+    """The lattices of distinct words.
+
+    The words are ranked from long to short, and a position is where it lies by the number of code
+    points left: the positions with r left, one for each word that is long enough, follow each other
+    from ``first[r]`` on in the order of the words. A step of the backward sums then takes one
+    slice and adds others to it.
 
-    ``log_q[p, n - 1]`` is the log probability to leave position p by the edge of n code points,
-    ``upto`` its running sum, ``ids`` the piece, or -1 - code point for one that only bytes can write.
+    ``log_q[n - 1, p]`` is the log probability to leave position p by the edge of n code points,
+    ``upto[p]`` the running sum over n, ``ids[n - 1, p]`` the piece, or -1 - code point for one that
+    only bytes can write.
     """
 
     log_q: np.ndarray
     upto: np.ndarray
     ids: np.ndarray
+    first: np.ndarray
 
 
 def build(v: Vocabulary, words: Sequence[str]) -> tuple[Lattice, np.ndarray, np.ndarray]:
-    """Lattice of all ``words``; where each starts, and how many code points it has."""
-    sizes = np.array([len(w) for w in words], np.int64)
+    """Lattice of all ``words``; the rank of each, and how many code points it has."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
     codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     sign = codes == ord(SPACE)
     codes[codes == 0x20] = ord(SPACE)
     codes[sign] = _NO_PIECE
-    starts = np.cumsum(sizes) - sizes
-    left = np.repeat(starts + sizes, sizes) - np.arange(len(codes))
-    most = int(min(v.longest, sizes.max(initial=1)))
-    ids = np.full((len(codes), most), -1, np.int32)
-    log_w = np.full((len(codes), most), -np.inf, np.float32)
-    rolling = np.zeros(len(codes), np.uint64)
-    at, longest = np.arange(len(codes)), 1
-    for n in range(1, most + 1):
-        at = at[left[at] >= n]
-        rolling[at] = rolling[at] * _BASE + codes[at + n - 1] + np.uint64(1)
-        found = v.find(rolling[at])
+    rank = np.empty(len(words), np.int64)
+    rank[np.argsort(-sizes, kind="stable")] = np.arange(len(words))
+    longer = np.cumsum(np.bincount(sizes, minlength=2)[::-1])[::-1]  # words of at least r code points
+    first = np.concatenate([[0, 0], np.cumsum(longer[1:])])
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(codes))
+    place = first[left] + np.repeat(rank, sizes)
+
+    ids, log_w = [], []
+    at, rolling = np.arange(len(codes)), np.zeros(len(codes), np.uint64)
+    for n in range(1, min(v.longest, len(longer) - 1) + 1):
+        rolling = rolling * _BASE + (codes[at + n - 1] + np.uint64(1))
+        found = v.find(rolling)
         hit = found >= 0
-        longest = n if hit.any() else longest
-        ids[at[hit], n - 1] = found[hit]
-        log_w[at[hit], n - 1] = v.log_p[found[hit]]
+        own, w = np.full(len(codes), -1, np.int32), np.full(len(codes), -np.inf, np.float32)
+        to = place[at[hit]]
+        own[to], w[to] = found[hit], v.log_p[found[hit]]
         if n == 1:  # what has no piece of its own is written in bytes
-            code = codes[at[~hit]].astype(np.int64)
+            code, to = codes[at[~hit]].astype(np.int64), place[at[~hit]]
             code[code == _NO_PIECE] = ord(SPACE)
-            ids[at[~hit], 0] = np.where(code < 128, v.byte_ids[np.minimum(code, 127)], -1 - code)
-            n_bytes = 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000)
-            log_w[at[~hit], 0] = n_bytes * v.byte_log_p
-    most, ids, log_w = longest, np.ascontiguousarray(ids[:, :longest]), np.ascontiguousarray(log_w[:, :longest])
-    # backward sums, for all positions with the same number of code points left at once
-    back = np.zeros(len(codes) + 1)
-    order = np.argsort(left, kind="stable")
-    cuts = np.searchsorted(left[order], np.arange(1, int(left.max(initial=0)) + 2))
-    for r, (low, high) in enumerate(zip(cuts, cuts[1:]), 1):
-        at, n = order[low:high], min(r, most)
-        if not len(at):
-            continue
-        values = np.empty((n, len(at)))
-        for i in range(n):
-            values[i] = log_w[at, i]
-            if i + 1 < r:
-                values[i] += back[at + i + 1]
+            own[to] = np.where(code < 128, v.byte_ids[np.minimum(code, 127)], -1 - code)
+            w[to] = (1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000)) * v.byte_log_p
+        ids.append(own)
+        log_w.append(w)
+        goes_on = (found != -1) & (left[at] > n)
+        at, rolling = at[goes_on], rolling[goes_on]
+    while len(log_w) > 1 and not np.isfinite(log_w[-1]).any():
+        ids.pop()
+        log_w.pop()
+    log_q, most = np.stack(log_w), len(log_w)
+    upto = np.ones((len(codes), most), np.float32)
+    back = [np.zeros(len(words))]
+    for r in range(1, len(longer)):
+        n, here = min(r, most), slice(first[r], first[r] + longer[r])
+        values = log_q[:n, here] + np.stack([back[-1 - i][: longer[r]] for i in range(n)])
         top = values.max(axis=0)
-        back[at] = top + np.log(np.exp(values - top).sum(axis=0))
-        log_w[at, :n] = (values - back[at]).T
-    upto = np.cumsum(np.exp(log_w), axis=1, dtype=np.float32)
-    upto /= upto[:, -1:]
-    return Lattice(log_w, upto, ids), starts, sizes
+        sums = np.cumsum(np.exp(values - top), axis=0)
+        total = top + np.log(sums[-1])
+        log_q[:n, here] = values - total
+        upto[here, :n] = (sums / sums[-1]).T
+        back = [*back[-most:], total] if most > 1 else [total]
+    return Lattice(log_q, upto, np.stack(ids), first), rank, sizes
 
 
 @dataclass
@@ -213,39 +231,44 @@ def segment(v: Vocabulary, texts: Sequence[str], seeds: Sequence[int], k: int) -
             out[i].append(Segmentation(np.zeros(0, np.int32), 0.0, 0.0, 0.0))
     if not rows:
         return out
-    known: dict[str, int] = {}
-    word_lists = [[known.setdefault(w, len(known)) for w in _WORDS.findall(" " + texts[i])] for i in rows]
-    lattice, starts, sizes = build(v, list(known))
+    known: defaultdict[str, int] = defaultdict(count().__next__)
+    word_lists = [list(map(known.__getitem__, _WORDS.findall(" " + texts[i]))) for i in rows]
+    lattice, rank, sizes = build(v, list(known))
     words = np.concatenate([np.array(x, np.int64) for x in word_lists])
     row_of = np.repeat(np.arange(len(rows)), [len(x) for x in word_lists])
     length = sizes[words]
     begin = np.cumsum(length) - length  # of each word in the batch's texts
     total = int(length.sum())
-    shift = np.repeat(starts[words] - begin, length)  # from a place in the texts to one in the lattice
     first_word = np.searchsorted(row_of, np.arange(len(rows)))
     first = begin[first_word]
-    last = np.append(first[1:], total)
     seed = np.array([seeds[i] % (1 << 64) for i in rows], np.uint64)
     end = begin + length
+    where = lattice.first[np.repeat(end, length) - np.arange(total)] + np.repeat(rank[words], length)  # in the lattice
 
     def walk(steps: np.ndarray, draw: int, at: np.ndarray, word: np.ndarray) -> None:
         """Leave every place in ``at`` by random edges to the end of its word; ``steps`` gets their lengths."""
         while len(at):
             row = row_of[word]
-            u = uniforms(seed[row], draw, at - first[row]).astype(np.float32)
-            n = (lattice.upto[at + shift[at]] > u[:, None]).argmax(axis=1) + 1
+            u = uniforms(seed, draw, at - first[row], row).astype(np.float32)
+            n = (lattice.upto[where[at]] > u[:, None]).argmax(axis=1) + 1
             steps[at] = n
             at = at + n
             going = at < end[word]
             at, word = at[going], word[going]
 
     all_steps: list[np.ndarray] = []
-    values: list[np.ndarray] = []  # of the set that leaves the draw's path at a place
-    prefix: list[np.ndarray] = []  # log probability of the path up to a place
-    taken: dict[tuple[int, int, int], list[int]] = {}
+    # of each draw, for the places its path leaves the ones before it behind: where they are, the
+    # largest value of the paths that leave it there, its log probability up to there; cuts by row
+    spots_of: list[np.ndarray] = []
+    values: list[np.ndarray] = []
+    prefix: list[np.ndarray] = []
+    cuts: list[np.ndarray] = []
+    taken: dict[tuple[int, int], list[int]] = {}
     log_ps: list[np.ndarray] = []
+    pieces: list[tuple[np.ndarray, np.ndarray]] = []
     live = np.ones(len(rows), bool)
     paths: list[list[tuple[int, float]]] = [[] for _ in rows]
+    last_word = np.searchsorted(row_of, np.arange(len(rows)), "right")
 
     for draw in range(k):
         steps = np.zeros(total, np.uint8)
@@ -258,17 +281,20 @@ def segment(v: Vocabulary, texts: Sequence[str], seeds: Sequence[int], k: int) -
             top = np.full(len(rows), -np.inf)
             at, word = [], []
             for r in np.flatnonzero(live).tolist():
-                a, b = int(first[r]), int(last[r])
-                spots = [a + int(x[a:b].argmax()) for x in values]
-                d = max(range(draw), key=lambda i: values[i][spots[i]])  # noqa: B023
-                t = spots[d]
-                top[r] = values[d][t]
-                if top[r] == -np.inf:
+                a, d, j = int(first[r]), -1, -1
+                for i in range(draw):
+                    low, high = cuts[i][r], cuts[i][r + 1]
+                    if low < high:
+                        at_most = low + int(values[i][low:high].argmax())
+                        if values[i][at_most] > top[r]:
+                            top[r], d, j = values[i][at_most], i, at_most
+                if d < 0:
                     live[r] = False
                     continue
+                t = int(spots_of[d][j])
                 # leave there by an edge that no path has taken
-                gone = taken.setdefault((r, d, t), [int(all_steps[d][t])])
-                p = np.exp(lattice.log_q[t + shift[t]].astype(np.float64))
+                gone = taken.setdefault((d, j), [int(all_steps[d][t])])
+                p = np.exp(lattice.log_q[:, where[t]].astype(np.float64))
                 p[np.array(gone) - 1] = 0
                 u = uniforms(seed[r : r + 1], draw, np.array([t - a]))[0]
                 n = int((np.cumsum(p) <= u * p.sum()).sum()) + 1
@@ -276,58 +302,54 @@ def segment(v: Vocabulary, texts: Sequence[str], seeds: Sequence[int], k: int) -
                     n -= 1
                 gone.append(n)
                 rest = p.sum() - p[n - 1]
-                base[r] = prefix[d][t] + lattice.log_q[t + shift[t], n - 1]
+                base[r] = prefix[d][j] + lattice.log_q[n - 1, where[t]]
                 if rest > 1e-12 * p.sum() and (p > 0).sum() > 1:
                     u = uniforms(seed[r : r + 1], draw, np.array([(1 << 41) + t - a]))[0]
-                    values[d][t] = _cut_gumbel(prefix[d][t] + np.log(rest), top[r], u)
+                    values[d][j] = _cut_gumbel(prefix[d][j] + np.log(rest), top[r], u)
                 else:
-                    values[d][t] = -np.inf
+                    values[d][j] = -np.inf
                 steps[a:t] = all_steps[d][a:t]
                 steps[t] = n
                 start[r] = t + 1
-                w = first_word[r] + int(np.searchsorted(begin[first_word[r] : np.searchsorted(row_of, r, "right")], t, "right")) - 1
+                w = first_word[r] + int(np.searchsorted(begin[first_word[r] : last_word[r]], t, "right")) - 1
                 if t + n < end[w]:
                     at.append(np.array([t + n]))
                     word.append(np.array([w]))
-                later = np.arange(w + 1, np.searchsorted(row_of, r, "right"))
+                later = np.arange(w + 1, last_word[r])
                 at.append(begin[later])
                 word.append(later)
             if at:
                 walk(steps, draw, np.concatenate(at), np.concatenate(word))
         spots = np.flatnonzero(steps)
-        row = np.repeat(np.arange(len(rows)), np.diff(np.append(np.searchsorted(spots, first), len(spots))))
-        log_q = lattice.log_q[spots + shift[spots], steps[spots] - 1].astype(np.float64)
-        new = spots >= start[row]
-        sums = np.cumsum(np.where(new, log_q, 0))
-        before = np.concatenate([[0.0], sums])[np.searchsorted(row, np.arange(len(rows)))]
-        here = base[row] + sums - before[row] - log_q
-        value, pre = np.full(total, -np.inf), np.zeros(total)
-        mass = here + _log1mexp(log_q)
-        u = uniforms(seed[row], draw, (1 << 42) + spots - first[row])
+        n = steps[spots].astype(np.int64) - 1
+        pieces.append((lattice.ids[n, where[spots]], np.searchsorted(spots, np.append(first, total))))
+        if draw:
+            new = spots >= np.repeat(start, np.diff(pieces[-1][1]))
+            spots, n = spots[new], n[new]
+        cut = np.searchsorted(spots, np.append(first, total))
+        row = np.repeat(np.arange(len(rows)), np.diff(cut))
+        log_q = lattice.log_q[n, where[spots]].astype(np.float64)
+        sums = np.concatenate([[0.0], np.cumsum(log_q)])
+        before = (base - sums[cut[:-1]])[row] + sums[:-1]
+        mass = before + _log1mexp(log_q)
+        u = uniforms(seed, draw, (1 << 42) + spots - first[row], row)
         with np.errstate(divide="ignore", invalid="ignore"):
-            drawn = np.where(np.isfinite(mass), _cut_gumbel(mass, top[row], u), -np.inf)
-        value[spots[new]] = drawn[new]
-        pre[spots[new]] = here[new]
-        if draw:  # what the path shares with the one it came from belongs to that one
-            pre[spots[~new]] = 0
+            values.append(np.where(np.isfinite(mass), _cut_gumbel(mass, top[row], u), -np.inf))
         all_steps.append(steps)
-        values.append(value)
-        prefix.append(pre)
-        ends = np.searchsorted(row, np.arange(len(rows)), "right")
-        finish = base + np.concatenate([[0.0], sums])[ends] - before
-        log_ps.append(finish)
+        spots_of.append(spots)
+        prefix.append(before)
+        cuts.append(cut)
+        log_ps.append(base + sums[cut[1:]] - sums[cut[:-1]])
         for r in np.flatnonzero(live).tolist():
             paths[r].append((draw, float(top[r])))
 
-    best = np.max([np.maximum.reduceat(x, first) for x in values], axis=0) if values else np.full(len(rows), -np.inf)
-    flats = []
-    for steps in all_steps:
-        spots = np.flatnonzero(steps)
-        flats.append((lattice.ids[spots + shift[spots], steps[spots] - 1], np.searchsorted(spots, np.append(first, total))))
+    best = np.full(len(rows), -np.inf)
+    for value, cut in zip(values, cuts):
+        np.maximum.at(best, np.repeat(np.arange(len(rows)), np.diff(cut)), value)
     for r, i in enumerate(rows):
         for draw, value in paths[r]:
-            ids, cuts = flats[draw]
-            mine = ids[cuts[r] : cuts[r + 1]]
+            ids, cut = pieces[draw]
+            mine = ids[cut[r] : cut[r + 1]]
             log_p = float(log_ps[draw][r])
             over = log_p - best[r]
             # log(1 - exp(-exp(over))): the path's own Gumbel value exceeds the best of what is left

@@ -17,7 +17,7 @@ from demandkit.llm.lattice import Vocabulary, segment
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 SEED = 13
-_BATCH_CHARS = 2_000_000
+_BATCH_CHARS = 1_000_000
 _NAMES = ["doc_id", "nth", "ids", "n_ids", "log_prob", "perturbed", "log_inclusion", "round_trip"]
 
 
