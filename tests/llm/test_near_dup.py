@@ -1,0 +1,72 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from demandkit.llm import near_dup, simhash
+
+SCHEMA = "doc_id long, text string"
+
+
+def plain_components(rows):
+    """All pairs, with the shingles themselves."""
+    sets = []
+    for _, t in rows:
+        w = (t or "").encode().lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    names = [i for i, _ in rows]
+    near = [(x, y) for x in range(len(rows)) for y in range(x) if sets[x] == sets[y] or 5 * len(sets[x] & sets[y]) >= 4 * len(sets[x] | sets[y]) > 0]
+    changed = True
+    while changed:
+        changed = False
+        for x, y in near:
+            if names[x] != names[y]:
+                names[x] = names[y] = min(names[x], names[y])
+                changed = True
+    return sorted(zip([i for i, _ in rows], names))
+
+
+def copies(seed, groups, each, words, changes):
+    rnd = random.Random(seed)
+    rows = []
+    for _ in range(groups):
+        base = [f"w{rnd.randrange(5000)}" for _ in range(words)]
+        for n in range(each):
+            own = list(base)
+            for at in rnd.sample(range(words), changes * n // each):
+                own[at] = f"x{rnd.randrange(5000)}"
+            rows.append((len(rows), " ".join(own).title()))
+    return rows
+
+
+@pytest.mark.parametrize("chunk", [1024, 3])
+def test_equals_all_pairs(spark, chunk):
+    rows = copies(1, 6, 15, 300, 16) + [(1000, None), (1001, ""), (1002, " \n"), (1003, "One"), (1004, "one two"), (1005, "ONE TWO")]
+    got = near_dup.near_components(spark.createDataFrame(rows, SCHEMA).repartition(5), chunk=chunk)
+    assert sorted(map(tuple, got.collect())) == plain_components(rows)
+
+
+def test_whole_table_equals_all_pairs(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    assert sorted(map(tuple, near_dup.near_components(docs).collect())) == plain_components(rows)
+
+
+def test_the_stage_drops_copies_that_differ_in_more_than_three_bits(spark, sf_dir):
+    rows = copies(2, 20, 2, 120, 4)
+    close = [(simhash.fingerprint(a[1].encode()) ^ simhash.fingerprint(b[1].encode())).bit_count() for a, b in zip(rows[::2], rows[1::2])]
+    assert sum(n > 3 for n in close) > 4
+    kept = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), sf_dir)
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i, c in plain_components(rows) if i == c] == list(range(0, 40, 2))
+
+
+def test_odd_tables(spark):
+    assert near_dup.near_components(spark.createDataFrame([], SCHEMA)).count() == 0
+    rows = [(None, "a b c d"), (5, "a b c d"), (5, "a b c d"), (None, "nothing else like this")]
+    odd = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit("x") for c in ("cls", "n", "keys", "component_id", "root", "_kept")})
+    got = [tuple(r) for r in near_dup.near_components(odd).collect()]
+    assert sorted(got, key=str) == sorted([(None, 5), (5, 5), (5, 5), (None, None)], key=str)
+    assert near_dup.keep_one_per_component(odd).columns == odd.columns
