@@ -124,7 +124,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op4_substring_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.dedup_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return substring_dedup.dedup_passages(table(spark, sf_dir, "documents").select("doc_id", "text"), whole=True)
 
 
 @register(

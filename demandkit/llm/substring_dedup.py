@@ -3,8 +3,11 @@
 Every run of ``RUN`` consecutive sentences is hashed. The hashes are counted over the whole corpus
 and joined back: a run that another document holds first is a repeated span, and the sentences it
 covers go. A sentence ends at a line break, or at a full stop, exclamation or question mark before
-white space; longer ones are cut after every ``LONGEST`` words, so that a passage of three times
-that many words always holds a whole run.
+white space. With ``whole`` longer ones than ``PIECE`` words are cut where the words themselves
+decide, at the smallest word hash of every ``PIECE`` neighbouring words: two texts cut a passage they
+share at the same places, whatever stands around it, and 4 * ``PIECE`` + 1 words always hold a whole
+run. Without it they are cut after every ``LONGEST`` words counted from the start of the sentence, and
+a passage at another offset may share no run.
 """
 
 from __future__ import annotations
@@ -17,12 +20,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
-from xxhash import xxh3_128_digest
+from xxhash import xxh3_128_digest, xxh64_intdigest
 
 from demandkit.llm.common import arrow_map, documents, texts, with_marks
 
 RUN = 3
 LONGEST = 20
+#: Longest piece between places that words decide: 4 * 12 + 1 words hold a whole run, 51 are asked for.
+PIECE = 12
 #: Runs of fewer words are no passage: short sentences repeat by chance.
 MIN_WORDS = 8
 _END = re.compile(rb"[.!?]+[\x20\x09-\x0D]+|\n[\x20\x09-\x0D]*")
@@ -30,7 +35,22 @@ _WORD = re.compile(rb"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
 _KEY = np.dtype([("h1", "<i8"), ("h2", "<i8")])
 
 
-def sentences(text: bytes, longest: int = LONGEST) -> tuple[list[bytes], list[list[bytes]]]:
+def places(words: list[bytes], window: int = PIECE) -> list[int]:
+    """Where the words say a sentence is cut: before the last smallest hash of each ``window`` words."""
+    hashes = [xxh64_intdigest(w) for w in words]
+    found, at = [], 0
+    for low in range(1, len(words) - window + 1):
+        high = low + window
+        if at < low:
+            at = min(range(high - 1, low - 1, -1), key=hashes.__getitem__)
+        elif hashes[high - 1] <= hashes[at]:
+            at = high - 1
+        if not found or found[-1] != at:
+            found.append(at)
+    return found
+
+
+def sentences(text: bytes, longest: int = LONGEST, whole: bool = False) -> tuple[list[bytes], list[list[bytes]]]:
     """The text cut into sentences with what follows them, and their lower-cased words.
 
     Put together again the sentences give the text. White space alone belongs to the sentence before.
@@ -50,14 +70,19 @@ def sentences(text: bytes, longest: int = LONGEST) -> tuple[list[bytes], list[li
             parts.append(part)
             words.append(found)
         else:
-            ends = [m.end() for m in _WORD.finditer(part)][longest - 1 :: longest]
-            begins = [0, *ends] if ends[-1] < len(part) else [0, *ends[:-1]]
-            for i, (a, b) in enumerate(zip(begins, [*begins[1:], len(part)])):
+            cut = [0, *(places(found, longest) if whole else range(longest, len(found), longest))]
+            ends = [m.end() for m in _WORD.finditer(part)]
+            begins = [0, *(ends[i - 1] for i in cut[1:])]
+            for a, b, i, j in zip(begins, [*begins[1:], len(part)], cut, [*cut[1:], len(found)]):
                 parts.append(part[a:b])
-                words.append(found[i * longest : (i + 1) * longest])
+                words.append(found[i:j])
     return parts, words
 
 
+def _cut(text: bytes, whole: bool) -> tuple[list[bytes], list[list[bytes]]]:
+    return sentences(text, PIECE if whole else LONGEST, whole)
+
+
 def runs(words: list[list[bytes]], run: int = RUN, min_words: int = MIN_WORDS) -> list[bytes | None]:
     """Hash of the run that starts at each sentence; None if it has too few words.
 
@@ -73,10 +98,10 @@ def runs(words: list[list[bytes]], run: int = RUN, min_words: int = MIN_WORDS) -
     ]
 
 
-def _run_batches(batches: Iterator[pa.RecordBatch], run: int, min_words: int) -> Iterator[pa.RecordBatch]:
+def _run_batches(batches: Iterator[pa.RecordBatch], run: int, min_words: int, whole: bool) -> Iterator[pa.RecordBatch]:
     """One row for each document and distinct run in it."""
     for batch in batches:
-        found = [set(runs(sentences(t)[1], run, min_words)) - {None} for t in texts(batch.column(1))]
+        found = [set(runs(_cut(t, whole)[1], run, min_words)) - {None} for t in texts(batch.column(1))]
         rows = np.repeat(np.arange(len(found)), [len(x) for x in found])
         keys = np.frombuffer(b"".join(k for x in found for k in sorted(x)), _KEY)
         hashes = [pa.array(keys[h]) for h in ("h1", "h2")]
@@ -90,9 +115,11 @@ def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([k.tobytes() for k in keys], pa.binary())], ["doc_id", "mark"])
 
 
-def without_repeats(text: bytes, gone: set[bytes], run: int = RUN, min_words: int = MIN_WORDS) -> tuple[bytes, int, int]:
+def without_repeats(
+    text: bytes, gone: set[bytes], run: int = RUN, min_words: int = MIN_WORDS, whole: bool = False
+) -> tuple[bytes, int, int]:
     """The text without sentences in runs that are ``gone`` or occur earlier in it; all and lost sentences."""
-    parts, words = sentences(text)
+    parts, words = _cut(text, whole)
     seen: set[bytes] = set()
     lost = bytearray(len(parts))
     for i, key in enumerate(runs(words, run, min_words)):
@@ -103,10 +130,12 @@ def without_repeats(text: bytes, gone: set[bytes], run: int = RUN, min_words: in
     return (b"".join(p for p, x in zip(parts, lost) if not x) if n else text), len(parts), n
 
 
-def _rewrite(batches: Iterator[pa.RecordBatch], at: int, run: int, min_words: int, names: list[str]) -> Iterator[pa.RecordBatch]:
+def _rewrite(
+    batches: Iterator[pa.RecordBatch], at: int, run: int, min_words: int, whole: bool, names: list[str]
+) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         marks = batch.column(batch.num_columns - 1).to_pylist()
-        made = [without_repeats(t, set(m or ()), run, min_words) for t, m in zip(texts(batch.column(at)), marks)]
+        made = [without_repeats(t, set(m or ()), run, min_words, whole) for t, m in zip(texts(batch.column(at)), marks)]
         new, total, lost = zip(*made) if made else ((), (), ())
         columns = dict(zip(batch.schema.names[:-1], batch.columns[:-1]))
         columns[batch.schema.names[at]] = pa.array(new, pa.binary()).cast(pa.string())
@@ -115,7 +144,12 @@ def _rewrite(batches: Iterator[pa.RecordBatch], at: int, run: int, min_words: in
 
 
 def dedup_passages(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", run: int = RUN, min_words: int = MIN_WORDS
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    run: int = RUN,
+    min_words: int = MIN_WORDS,
+    whole: bool = False,
 ) -> DataFrame:
     """``docs`` with repeated passages taken out of ``text``, and ``n_sentences``, ``n_removed``.
 
@@ -127,7 +161,7 @@ def dedup_passages(
     """
     base = documents(docs, doc_id, text)
     kind = docs.schema[doc_id].dataType.simpleString()
-    held = arrow_map(base, partial(_run_batches, run=run, min_words=min_words), f"doc_id {kind}, h1 long, h2 long")
+    held = arrow_map(base, partial(_run_batches, run=run, min_words=min_words, whole=whole), f"doc_id {kind}, h1 long, h2 long")
     # a third of all rows may hold one run: it is counted where it is, and its rows are dealt out by the join
     first = held.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first")).where("n > 1")
     repeated = held.join(first.drop("n"), ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("first")))
@@ -135,5 +169,5 @@ def dedup_passages(
     out = StructType([f if f.name != text else StructField(text, StringType()) for f in docs.schema if f.name not in ("n_sentences", "n_removed")])
     out = out.add("n_sentences", LongType()).add("n_removed", LongType())
     marked = with_marks(docs, doc_id, marks)
-    rewrite = partial(_rewrite, at=docs.columns.index(text), run=run, min_words=min_words, names=out.names)
+    rewrite = partial(_rewrite, at=docs.columns.index(text), run=run, min_words=min_words, whole=whole, names=out.names)
     return arrow_map(marked, rewrite, out)

@@ -1,0 +1,52 @@
+"""Substring dedup as the query runs it: cut where the words decide."""
+
+from __future__ import annotations
+
+import random
+
+from demandkit.llm import queries, substring_dedup as sd
+
+
+def passage(rnd, n):
+    return [f"w{rnd.randrange(3000)}" for _ in range(n)]
+
+
+def op4(spark, folder, rows):
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    return {r.doc_id: r for r in queries.QUERIES["op4_substring_dedup"](spark, str(folder)).collect()}
+
+
+def test_unpunctuated_passages_at_other_offsets(spark, tmp_path):
+    rnd = random.Random(12)
+    rows = []
+    for offset in range(40):
+        shared = passage(rnd, 51)
+        for before in (0, offset):
+            own = [f"d{len(rows)}x{i}" for i in range(before + 7)]
+            rows.append((len(rows), " ".join(own[:before] + shared + own[before:])))
+    made = op4(spark, tmp_path, rows)
+    assert all(made[i].n_removed == 0 for i in range(0, 80, 2))
+    assert all(made[i].n_removed >= 3 for i in range(1, 80, 2))
+
+
+def test_every_passage_shares_a_run_whatever_stands_around_it():
+    rnd = random.Random(13)
+    for _ in range(2000):
+        few = rnd.choice([2, 5, 3000])
+        shared = [f"w{rnd.randrange(few)}" + rnd.choice(["", "", "", rnd.choice(["", "."])]) for _ in range(51)]
+        texts = []
+        for side in "ab":
+            around = [[f"{side}{rnd.randrange(3000)}" for _ in range(rnd.randint(0, 30))] for _ in range(2)]
+            texts.append(" ".join(around[0] + shared + around[1]).encode())
+        first, second = (set(sd.runs(sd.sentences(t, sd.PIECE, True)[1], min_words=1)) for t in texts)
+        assert first & second
+
+
+def test_pieces_put_together_give_the_text():
+    rnd = random.Random(14)
+    for _ in range(500):
+        text = "".join(rnd.choice("ab.! \n\t") for _ in range(300)).encode()
+        parts, words = sd.sentences(text, 3, True)
+        assert b"".join(parts) == text
+        assert [w for s in words for w in s] == text.lower().split()
+        assert all(len(w) <= 3 for w in words)
