@@ -7,14 +7,17 @@ white space. With ``whole`` longer ones than ``PIECE`` words are cut where the w
 decide, at the smallest word hash of every ``PIECE`` neighbouring words: two texts cut a passage they
 share at the same places, whatever stands around it, and 4 * ``PIECE`` + 1 words always hold a whole
 run. Without it they are cut after every ``LONGEST`` words counted from the start of the sentence, and
-a passage at another offset may share no run.
+a passage at another offset may share no run. With ``whole`` runs of fewer than ``MIN_WORDS`` words are
+lengthened, without it they are left out.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import partial
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -83,25 +86,40 @@ def _cut(text: bytes, whole: bool) -> tuple[list[bytes], list[list[bytes]]]:
     return sentences(text, PIECE if whole else LONGEST, whole)
 
 
-def runs(words: list[list[bytes]], run: int = RUN, min_words: int = MIN_WORDS) -> list[bytes | None]:
-    """Hash of the run that starts at each sentence; None if it has too few words.
+def spans(words: list[list[bytes]], run: int = RUN, min_words: int = MIN_WORDS, whole: bool = False) -> list[tuple[int, int, bytes]]:
+    """Where each run begins and ends, and its hash; a text of fewer sentences than a run has is one run.
 
-    A text of fewer sentences than a run has is one run.
+    Runs with too few words are left out, or with ``whole`` get further sentences until they have
+    enough; where the text ends before that, its last run gets sentences at its front instead. A text
+    with too few words has no run.
     """
-    if not words:
-        return []
+    n = len(words)
     hashes = [xxh3_128_digest(b" ".join(w)) for w in words]
-    sizes = [len(w) for w in words]
-    return [
-        xxh3_128_digest(b"".join(hashes[i : i + run])) if sum(sizes[i : i + run]) >= min_words else None
-        for i in range(max(1, len(words) - run + 1))
-    ]
+    upto = [0, *accumulate(map(len, words))]
+    made = []
+    for low in range(max(1, n - run + 1) if n else 0):
+        high = min(low + run, n)
+        if upto[high] - upto[low] < min_words:
+            if not whole or upto[n] < min_words:
+                continue
+            high = bisect_left(upto, upto[low] + min_words)
+            if high > n:
+                low, high = bisect_right(upto, upto[n] - min_words) - 1, n
+        found = low, high, xxh3_128_digest(b"".join(hashes[low:high]))
+        if not made or made[-1] != found:
+            made.append(found)
+    return made
+
+
+def runs(words: list[list[bytes]], run: int = RUN, min_words: int = MIN_WORDS, whole: bool = False) -> list[bytes]:
+    """Hash of each run."""
+    return [key for *_, key in spans(words, run, min_words, whole)]
 
 
 def _run_batches(batches: Iterator[pa.RecordBatch], run: int, min_words: int, whole: bool) -> Iterator[pa.RecordBatch]:
     """One row for each document and distinct run in it."""
     for batch in batches:
-        found = [set(runs(_cut(t, whole)[1], run, min_words)) - {None} for t in texts(batch.column(1))]
+        found = [set(runs(_cut(t, whole)[1], run, min_words, whole)) for t in texts(batch.column(1))]
         rows = np.repeat(np.arange(len(found)), [len(x) for x in found])
         keys = np.frombuffer(b"".join(k for x in found for k in sorted(x)), _KEY)
         hashes = [pa.array(keys[h]) for h in ("h1", "h2")]
@@ -122,9 +140,9 @@ def without_repeats(
     parts, words = _cut(text, whole)
     seen: set[bytes] = set()
     lost = bytearray(len(parts))
-    for i, key in enumerate(runs(words, run, min_words)):
-        if key is not None and (key in gone or key in seen):
-            lost[i : i + run] = b"\x01" * len(lost[i : i + run])
+    for low, high, key in spans(words, run, min_words, whole):
+        if key in gone or key in seen:
+            lost[low:high] = b"\x01" * (high - low)
         seen.add(key)
     n = sum(lost)
     return (b"".join(p for p, x in zip(parts, lost) if not x) if n else text), len(parts), n
@@ -157,7 +175,7 @@ def dedup_passages(
     sentences it covers go. Upper and lower case A-Z and the kind of white space make no difference.
     Rows that repeat an id are one document: each keeps what that id keeps. A row with a null id
     keeps a run that no row with an id holds. A null text becomes empty. Input columns named like
-    the two counts are replaced.
+    the two counts are replaced. ``whole`` finds passages at any offset and of short sentences.
     """
     base = documents(docs, doc_id, text)
     kind = docs.schema[doc_id].dataType.simpleString()

@@ -38,7 +38,7 @@ def test_every_passage_shares_a_run_whatever_stands_around_it():
         for side in "ab":
             around = [[f"{side}{rnd.randrange(3000)}" for _ in range(rnd.randint(0, 30))] for _ in range(2)]
             texts.append(" ".join(around[0] + shared + around[1]).encode())
-        first, second = (set(sd.runs(sd.sentences(t, sd.PIECE, True)[1], min_words=1)) for t in texts)
+        first, second = (set(sd.runs(sd.sentences(t, sd.PIECE, True)[1], whole=True)) for t in texts)
         assert first & second
 
 
@@ -50,3 +50,16 @@ def test_pieces_put_together_give_the_text():
         assert b"".join(parts) == text
         assert [w for s in words for w in s] == text.lower().split()
         assert all(len(w) <= 3 for w in words)
+
+
+def test_copies_of_short_sentences_lose_all(spark, tmp_path):
+    rnd = random.Random(15)
+    listed = "".join(f"{w.upper()}!! " for w in passage(rnd, 60))
+    pairs = " ".join(f"{a} {b}." for a, b in zip(passage(rnd, 31), passage(rnd, 31)))
+    tail = "One two three four five six seven eight nine. Ten. Eleven. Twelve. Last."
+    rows = [(i + 10 * n, t) for n, t in enumerate([listed, pairs, tail]) for i in (1, 2)]
+    rows += [(40, "Ten. Eleven. Twelve."), (41, "Ten. Eleven. Twelve."), (50, "of. " * 50)]
+    made = op4(spark, tmp_path, rows)
+    assert all(made[i].text == t for i, t in rows if i in (1, 11, 21, 40, 41))
+    assert all(made[i].text == "" and made[i].n_removed == made[i].n_sentences for i in (2, 12, 22))
+    assert made[50].text != rows[-1][1]
