@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from demandkit.llm import decontaminate, html_extract, line_dedup, quality, segmentation, sharding, simhash, substring_dedup, toxicity, url_filters
+from demandkit.llm import decontaminate, html_extract, line_dedup, quality, segmentation, sharding, simhash, substring_dedup, token_files, toxicity, url_filters
 from demandkit.plans.catalogue import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -175,3 +175,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_sharding")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
+
+
+@register("op11_token_files")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = token_files.write_ids(table(spark, sf_dir, "documents"))
+    return token_files.read_ids(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
