@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from demandkit.llm import decontaminate, html_extract, line_dedup, quality, segmentation, sharding, simhash, substring_dedup, token_files, toxicity, url_filters
+from demandkit.llm import alignment, centroids, decontaminate, html_extract, line_dedup, quality, segmentation, sharding, simhash, substring_dedup, token_files, toxicity, url_filters
 from demandkit.plans.catalogue import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -181,3 +181,51 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = token_files.write_ids(table(spark, sf_dir, "documents"))
     return token_files.read_ids(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@register("op12_token_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = alignment.align_documents(table(spark, sf_dir, "documents"), digest=True)
+    return made.withColumnRenamed("groups", "groups_sha256")
+
+
+def _lloyd_sql(rounds: int = 5) -> str:
+    """The rounds of op13 written out: components one by one, sums as whole numbers."""
+    steps = []
+    for n in range(rounds + 1):
+        steps.append(f"""
+    near{n} AS MATERIALIZED (
+      SELECT vec_id, c, d FROM (
+        SELECT v.vec_id, m.c, sum((v.x - m.x) * (v.x - m.x)) AS d,
+               row_number() OVER (PARTITION BY v.vec_id ORDER BY sum((v.x - m.x) * (v.x - m.x)), m.c) AS place
+        FROM parts v JOIN means{n} m ON v.i = m.i GROUP BY v.vec_id, m.c) WHERE place = 1)""")
+        if n < rounds:
+            steps.append(f"""
+    means{n + 1} AS MATERIALIZED (
+      SELECT m.c, m.i, coalesce(s.x, m.x) AS x FROM means{n} m LEFT JOIN (
+        SELECT c, i, CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS x
+        FROM near{n} JOIN parts USING (vec_id) GROUP BY c, i) s ON m.c = s.c AND m.i = s.i)""")
+    return f"""
+    WITH kept AS (
+      SELECT vec_id, embedding AS e FROM embeddings
+      WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    parts AS MATERIALIZED (
+      SELECT vec_id, i, CAST(floor(256 * CAST(e[i] AS DOUBLE)) AS BIGINT) AS x FROM kept, (SELECT unnest(range(1, 65)) AS i)),
+    firsts AS (SELECT vec_id, row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c FROM kept QUALIFY c < 40),
+    means0 AS MATERIALIZED (SELECT c, i, x FROM firsts JOIN parts USING (vec_id)),{",".join(steps)},
+    codes AS (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM means{rounds} GROUP BY c)
+    SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+           CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256
+    FROM near{rounds} JOIN codes USING (c)"""
+
+
+@register("op13_centroid_clustering", _lloyd_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, final = centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
+    found = centroids.checkpointed(found)
+    by_cluster = found.groupBy("cluster").agg(F.sum("distance").alias("cluster_inertia"))
+    whole = F.sum("cluster_inertia").over(Window.partitionBy(F.lit(0)))
+    # forty rows each
+    codes = final.select(F.col("cluster").alias("c"), F.sha2(F.array_join("components", ","), 256).alias("centroid_sha256"))
+    sums = by_cluster.withColumn("inertia", whole).join(F.broadcast(codes), F.col("cluster") == F.col("c")).drop("c")
+    return found.join(F.broadcast(sums), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")

@@ -1,9 +1,9 @@
 """Public tokenizers by words: every distinct word is encoded once, texts are put together from that.
 
-Both kinds of tokenizer end a token before a space that follows no white space or is followed by none,
+Both kinds of tokenizer end a token before a space between two characters that are no white space,
 whatever stands elsewhere; so the ids of a text are those of its units, each a space and what follows
-up to the next one. Texts with longer stretches of white space, or with strings of special tokens
-where these count, are encoded whole.
+up to the next such one. A byte-level tokenizer also ends one before any other space that touches
+something else than white space.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ MAX_WORDS = 1 << 18
 _TOGETHER = 4096
 #: A space within white space, or at its end: a token may reach over it.
 _OVER = re.compile(r"\s \s|\s \Z")
+_SAFE = re.compile(r"(?<=\S) (?=\S)")
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -52,10 +53,10 @@ class ByteWords:
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint16).tobytes()
 
-    def parts(self, text: str) -> list[str] | None:
-        """The text cut before its spaces, or nothing if that is not safe."""
+    def parts(self, text: str) -> list[str]:
+        """The text without the spaces it can be cut at."""
         if _OVER.search(text) or (self.special and self.special.search(text)):
-            return None
+            return _SAFE.split(text)
         return text.split(" ")
 
     def _learn(self, words: list[str]) -> None:
@@ -63,7 +64,7 @@ class ByteWords:
         if len(self.units) + len(new) > MAX_WORDS:
             self.units.clear()
             new = list(set(words))
-        firm = [w for w in new if w and w.strip() == w]
+        firm = [w for w in new if w and w.strip() == w and " " not in w]
         groups = [firm[i : i + _TOGETHER] for i in range(0, len(firm), _TOGETHER)]
         for group, found in zip(groups, self.library.encode_batch([" " + " ".join(g) for g in groups], add_special_tokens=False)):
             ids = np.array(found.ids, np.uint16)
@@ -74,16 +75,20 @@ class ByteWords:
             data, ends = ids.tobytes(), [*(2 * starts[1:]).tolist(), 2 * len(ids)]
             for word, low, high in zip(group, (2 * starts).tolist(), ends):
                 self.units[word] = data[low:high]
-        self.units |= {w: self.whole(" " + w) for w in new if not w or w.strip() != w}
+        self.units |= {w: self.whole(" " + w) for w in new if w not in self.units}
 
     def encode(self, text: str) -> bytes:
-        words = self.parts(text)
-        if words is None:
-            return self.whole(text)
-        head, *rest = words
+        head, *rest = self.parts(text)
         try:
             body = b"".join(map(self.units.__getitem__, rest))
         except KeyError:
             self._learn(rest)
             body = b"".join(map(self.units.__getitem__, rest))
         return (self.whole(head) if head else b"") + body
+
+
+def units(text: str) -> list[str]:
+    """What follows the space that each unit of a space and ``text`` begins with, safe for both kinds of tokenizer."""
+    if "  " in text or text[:1] == " " or text[-1:] == " " or _OVER.search(text):
+        return [w if n else w[1:] for n, w in enumerate(_SAFE.split(" " + text))]
+    return text.split(" ")
