@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from demandkit.llm import decontaminate, line_dedup, near_dup, segmentation, toxicity
+from demandkit.llm import decontaminate, line_dedup, segmentation, simhash, toxicity
 from demandkit.plans.catalogue import table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -25,8 +25,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group with a five-word Jaccard similarity of 0.8 or more stays, the one with the smallest id."""
-    return near_dup.keep_one_per_component(docs)
+    """One document of each group of close fingerprints stays, the one with the smallest id: three-word shingles, three bits at most."""
+    return simhash.keep_one_per_component(docs)
 
 
 def drop_benchmark_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
