@@ -9,12 +9,14 @@ from dataclasses import dataclass, field
 # fixed values of the markup language
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is no text of the page.
-SILENT = frozenset("script style title textarea template noscript iframe object svg math select button canvas audio video".split())
-RAW = frozenset("script style title textarea noscript iframe xmp".split())
+SILENT = frozenset("script style title textarea template iframe svg select button canvas audio video".split())
+RAW = frozenset("script style title textarea iframe xmp".split())
 HEAD_ONLY = frozenset("title meta link script style base noscript template".split())
-INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i img input ins kbd label map mark "
-    "nobr output picture q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+#: Elements that stand for themselves in a page; all others run on in a line of text.
+BLOCKS = frozenset(
+    "html head body article aside blockquote address caption center colgroup dd details dialog dir div dl dt fieldset "
+    "figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup legend li listing main menu nav noframes "
+    "noscript object ol optgroup option p plaintext pre search section summary table tbody td tfoot th thead tr ul xmp".split()
 )
 CLOSED_BY = {
     "li": frozenset(["li"]),
@@ -68,8 +70,10 @@ def read(source: str) -> Page:
     """Blocks of text in page order, each owned by its nearest block element.
 
     Character references are decoded, white space inside a block becomes one space, empty blocks
-    vanish. Comments, declarations, scripts and other silent elements leave nothing; a tag cut off at
-    the end of the text is no text. Elements may be left open, or closed without being open.
+    vanish. Comments, declarations, scripts and other silent elements leave nothing, and what is within
+    them opens and closes nothing outside; a tag cut off at the end of the text is no text. Elements may
+    be left open, or closed without being open. Tags that are not known run on in a line, as formulas
+    do; what stands in for objects and scripts is a block of its own.
     """
     page = Page()
     nodes, total = page.nodes, 0
@@ -109,9 +113,14 @@ def read(source: str) -> Page:
                 while len(stack) > i:
                     pop()
                 return
-            if stack[i][0] in within:
+            # out of a silent element leads only what also closes the parts of a page around it
+            if stack[i][0] in within and stack[i][2] or stack[i][0] in SILENT and not tags & SCOPES:
                 return
 
+    def raw_end(tag: str, begin: int) -> int:
+        rest = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(source, begin)
+        return rest.start() if rest else size
+
     at, size = 0, len(source)
     while at < size:
         found = _TAG.search(source, at)
@@ -129,19 +138,26 @@ def read(source: str) -> Page:
             if tag == "br":
                 pieces.append((" ", False))
             elif tag not in VOID:
-                close(frozenset([tag]), frozenset() if tag not in INLINE else SCOPES)
+                close(frozenset([tag]), frozenset() if tag in BLOCKS else SCOPES)
             continue
         given = found[3] or found[6] or ""
         if silent and stack[-1][0] == "head" and tag not in HEAD_ONLY:
             pop()
-        if tag in VOID or given.endswith("/") and tag in INLINE:
+        if tag in VOID or given.endswith("/") and tag not in BLOCKS:
             if tag in ("br", "hr", "img") and not silent:
                 pieces.append((" ", False))
             if tag == "hr":
                 flush()
             nodes[stack[-1][1]].controls += tag == "input"
             continue
-        block = tag not in INLINE and tag not in SILENT
+        if silent and stack[-1][0] != "head" and any(t in SILENT for t, *_ in stack):
+            stack.append((tag, stack[-1][1], False))
+            silent += tag in SILENT
+            links += tag == "a"
+            if tag in RAW:
+                at = raw_end(tag, at)
+            continue
+        block = tag in BLOCKS
         owner = stack[-1][1]
         nodes[owner].controls += tag in ("button", "select", "textarea")
         if block:
@@ -163,8 +179,9 @@ def read(source: str) -> Page:
         silent += tag in SILENT or tag == "head"
         links += tag == "a"
         if tag in RAW:
-            rest = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(source, at)
-            at = rest.start() if rest else size
+            begin, at = at, raw_end(tag, at)
+            if tag == "xmp" and not silent:
+                pieces.append((html.escape(source[begin:at]), links > 0))
     while len(stack) > 1:
         pop()
     flush()

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import random
 import re
+import warnings
 from collections.abc import Iterator, Sequence
 from functools import partial
 from zlib import crc32
@@ -28,6 +29,8 @@ from demandkit.llm.dom import Page, read
 #: Pages whose texts are used to put the training pages together, and how many of these are made.
 TRAIN_PAGES = 200
 MADE_PAGES = 1500
+#: Characters of these pages together: a page that does not fit any more is left out of the sample.
+TRAIN_CHARS = 8_000_000
 TOKEN_BINS = 24
 _BATCH_CHARS = 1 << 21
 
@@ -231,19 +234,40 @@ def _extract_batches(batches: Iterator[pa.RecordBatch], model: BoostedTrees) ->
             low = high
 
 
+def training_sample(pages: DataFrame, n: int = TRAIN_PAGES, chars: int = TRAIN_CHARS) -> list[str]:
+    """Sources of at most ``n`` pages with at most ``chars`` characters in all, by smallest hash of id and url.
+
+    Pages ``(page_id, url, html)`` are taken in that order, and one that would go beyond ``chars`` is left
+    out. Rows with one id and url count once. Only lengths are looked at before the choice.
+    """
+    lengths = pages.where("html IS NOT NULL").groupBy("page_id", "url").agg(F.min(F.length("html")).alias("n"))
+    chosen, total = [], 0
+    for r in hash_sample(lengths, ["page_id", "url"], n).collect():
+        if total + r.n <= chars:
+            chosen.append((r.page_id, r.url, r.n))
+            total += r.n
+    wanted = pages.sparkSession.createDataFrame(chosen, lengths.schema).withColumnsRenamed({"page_id": "_id", "url": "_url", "n": "_n"})
+    # as many rows as the sample has
+    same = F.col("page_id").eqNullSafe(F.col("_id")) & F.col("url").eqNullSafe(F.col("_url")) & (F.length("html") == F.col("_n"))
+    return sorted(r.html for r in pages.join(F.broadcast(wanted), same).groupBy("page_id", "url").agg(F.min("html").alias("html")).collect())
+
+
 def extract_text(
-    pages: DataFrame, page_id: str = "page_id", url: str = "url", source: str = "html", train_pages: int = TRAIN_PAGES
+    pages: DataFrame, page_id: str = "page_id", url: str = "url", source: str = "html",
+    train_pages: int = TRAIN_PAGES, train_chars: int = TRAIN_CHARS,
 ) -> DataFrame:
     """``(page_id, url, text, n_chars)``, one row for each row of ``pages``.
 
-    The model is fitted on the driver from at most ``train_pages`` pages, those with the smallest
-    hash of id and url. A null source counts as empty and has the text ''; rows with null ids or
-    urls and repeated rows are read like others; other columns are not carried. Pages are read
-    whole, a batch of them at a time, however long.
+    The model is fitted on the driver from at most ``train_pages`` pages with at most ``train_chars``
+    characters, see ``training_sample``; if none of them fits, it is fitted on stock words, with a
+    warning. A null source counts as empty and has the text ''; rows with null ids or urls and repeated
+    rows are read like others; other columns are not carried. Pages are read whole, a batch of them at a
+    time, however long.
     """
     base = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(source).alias("html"))
-    readable = base.where("html IS NOT NULL AND length(html) < 100000")
-    sample = sorted(r.html for r in hash_sample(readable, ["page_id", "url"], train_pages).collect())
+    sample = training_sample(base, train_pages, train_chars)
+    if not sample:
+        warnings.warn("no page fits into the training sample; the trees are fitted on stock words", stacklevel=2)
     kinds = {f.name: f.dataType.simpleString() for f in base.schema}
     schema = f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long"
     return arrow_map(base, partial(_extract_batches, model=train(sample)), schema)

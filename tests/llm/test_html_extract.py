@@ -35,6 +35,17 @@ SCHEMA = "page_id long, url string, html string"
         ("<!-- never closed <p>x", []),
         ("<SCRIPT>a</SCRIPT>b<textarea>c</textarea>d", ["bd"]),
         ("<div>" * 3000 + "deep", ["deep"]),
+        ("<p>Press the <svg><path d='M0 0'/></svg> icon to go on.</p>", ["Press the icon to go on."]),
+        ("<div>Press the <svg><path d='M0 0'><g><p>no</p></g></svg> icon.</div>", ["Press the icon."]),
+        ("<p>Pick <select><option>One<option>Two</select> now.</p>", ["Pick now."]),
+        ("<p>The sum is <button><div>hidden</div></button> four.</p>", ["The sum is four."]),
+        ("<p>a <custom-tag>b</custom-tag> c</p>", ["a b c"]),
+        ("<p>If <math><mi>x</mi><mo>&lt;</mo><mn>2</mn></math> then</p>", ["If x<2 then"]),
+        ("<p>a</p><noscript><p>as text</p></noscript><object data=x>for it</object>b", ["a", "as text", "for it", "b"]),
+        ("<xmp>a <b> &amp; c</xmp>d", ["a <b> &amp; c", "d"]),
+        ("<div><button>left open</div>after", ["after"]),
+        ("<p>a<video><source src=x>none</video>b<canvas><ul><li>c</canvas>d", ["abd"]),
+        ("<head><noscript><style>x</style></noscript></head><body>b", ["b"]),
     ],
 )
 def test_reader(source, blocks):
@@ -121,6 +132,42 @@ def test_hand_made_page(pages):
     ]
 
 
+LAYOUTS = {
+    # forms of real sites, none of which the training templates make: article, then the page around it
+    "wiki": "<div id=mw-page-base></div><div id=content class=mw-body><h1 id=firstHeading>{0}</h1><div id=bodyContent><p>{1}</p><p>{2}</p><h2>{3}</h2><p>{4}</p></div></div>"
+            "<div id=mw-navigation><div class='portal' role=navigation><h3>Tools</h3><ul><li><a href=/a>What links here</a><li><a href=/b>Related changes</a></ul></div></div><div id=footer role=contentinfo><ul><li>Privacy policy<li>About</ul></div>",
+    "tables": "<table width=100%><tr><td colspan=2 class=masthead><a href=/>Home</a> | <a href=/x>Archive</a></td></tr><tr><td class=menu><ul><li><a href=/1>One</a><li><a href=/2>Two</a></ul></td>"
+              "<td class=content><h1>{0}</h1><p>{1}</p><p>{2}</p><h2>{3}</h2><p>{4}</p></td></tr><tr><td colspan=2 class=footer>Copyright notice</td></tr></table>",
+    "blog": "<div class='site'><header class='site-header'><p class=site-title><a href=/>A blog</a></p><nav class=primary-navigation><ul><li><a href=/about>About</a></ul></nav></header>"
+            "<div class=site-content><article class='post type-post hentry'><h1 class=entry-title>{0}</h1><div class=entry-content><p>{1}</p><p>{2}</p><h2>{3}</h2><p>{4}</p></div></article>"
+            "<div id=disqus_thread class=comments-area><h2>3 replies</h2><ol class=comment-list><li class=comment><p>Thank you for that.</p></ol></div></div><aside class=widget-area><h2>Search</h2><form role=search><input></form></aside></div>",
+}
+
+
+@pytest.mark.parametrize("name", list(LAYOUTS))
+def test_layouts_of_no_template(pages, name):
+    rows = sorted((r.page_id, r.html) for r in pages.collect())
+    model = html_extract.train([h for _, h in rows[: len(rows) // 2]])
+    texts = sorted({t for _, h in rows[len(rows) // 2 :] for _, t in dom.read(h).blocks if 12 < t.count(" ") < 150})
+    rnd, right, n = random.Random(17), 0, 40
+    for _ in range(n):
+        parts = [rnd.choice(texts) for _ in range(5)]
+        parts[0], parts[3] = (" ".join(parts[k].split()[:6]) for k in (0, 3))
+        made = html_extract.extract([LAYOUTS[name].format(*map(html.escape, parts))], model)[0]
+        right += made == "\n\n".join(parts)
+    assert right >= 0.9 * n, (right, made, parts)
+
+
+def test_the_sample_is_bounded_by_characters(spark):
+    rows = [(i % 40, "u", "x" * (1000 if i % 40 else 500_000)) for i in range(2000)] + [(None, None, "y" * 10)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    sample = html_extract.training_sample(frame, 30, 12_000)
+    assert 10 <= len(sample) <= 13 and sum(map(len, sample)) <= 12_000
+    assert len(html_extract.training_sample(frame, 100, 10**7)) == 41
+    with pytest.warns(UserWarning, match="stock words"):
+        html_extract.extract_text(frame, train_chars=5)
+
+
 def test_odd_tables(spark):
     assert html_extract.extract_text(spark.createDataFrame([], SCHEMA), train_pages=5).count() == 0
     long = "<article>" + "<p>some words in a long page</p>" * 20_000 + "</article>"
