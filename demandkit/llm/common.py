@@ -57,13 +57,15 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
-def with_marks(docs: DataFrame, doc_id: str, marks: DataFrame) -> DataFrame:
+def with_marks(docs: DataFrame, doc_id: str, text: str, marks: DataFrame) -> DataFrame:
     """Each row of ``docs`` with the list of its marks as last column, null where it has none.
 
-    ``marks`` has one row ``(doc_id, mark)`` per mark; the list of one document is bounded by its
-    own text. Only the lists are built into a hash table: the texts are shuffled but not sorted.
+    ``marks`` has rows ``(doc_id, hash, mark)``, where ``hash`` is ``xxhash64`` of the row's text, so that
+    rows without an id, or with one id, have lists of their own; the list of distinct marks is bounded
+    by that text. Only the lists are built into a hash table: the texts are shuffled but not sorted.
     """
-    key, name = unused(docs, "_marked"), unused(docs, "_marks")
-    lists = marks.groupBy(F.col("doc_id").alias(key)).agg(F.collect_list("mark").alias(name))
-    same = docs[doc_id].eqNullSafe(lists[key])
-    return docs.join(lists.hint("shuffle_hash"), same, "left").drop(key)
+    key, code, own, name = (unused(docs, n) for n in ("_marked", "_code", "_own", "_marks"))
+    lists = marks.groupBy(F.col("doc_id").alias(key), F.col("hash").alias(code)).agg(F.collect_set("mark").alias(name))
+    coded = docs.withColumn(own, F.xxhash64(F.col(text)))
+    same = coded[doc_id].eqNullSafe(lists[key]) & (coded[own] == lists[code])
+    return coded.join(lists.hint("shuffle_hash"), same, "left").drop(key, code, own)

@@ -5,7 +5,9 @@ perfect hash (bit arrays of falling size, a key taking the first bit it has to i
 the bit being its slot), and three arrays follow the slots: a 32-bit fingerprint, the number of
 documents, the last document. Documents send their line hashes, not their lines, past the arrays.
 Lines that hold more than a thousandth of all occurrences, at most ``HEAVY`` of them, are known
-before that and never travel, so that no shard gets more than its share of probes.
+before that and never travel. A shard that is asked more than ``PROBES`` times for its other lines is
+copied, and its probes are dealt to the copies: no task answers many more than that, however many
+documents there are.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ MIN_CHARS = 40
 MIN_DOCS = 5
 SHARD_KEYS = 1 << 16
 HEAVY = 1024
+PROBES = 1 << 22
 _SPACE = b" \t\n\x0b\x0c\r"
 _NO_DOC = -(1 << 63)
 _KEY = np.dtype([("h1", "<u8"), ("h2", "<u8")])
@@ -41,11 +44,12 @@ def line_key(line: bytes, min_chars: int) -> bytes | None:
 def _line_batches(batches: Iterator[pa.RecordBatch], min_chars: int) -> Iterator[pa.RecordBatch]:
     """One row for each document and distinct line hash in it."""
     for batch in batches:
-        found = [{line_key(x, min_chars) for x in t.split(b"\n")} - {None} for t in texts(batch.column(1))]
+        found = [{line_key(x, min_chars) for x in t.split(b"\n")} - {None} for t in texts(batch.column(2))]
         rows = np.repeat(np.arange(len(found)), [len(x) for x in found])
         keys = np.frombuffer(b"".join(k for x in found for k in sorted(x)), _KEY)
         hashes = [pa.array(keys[h].view(np.int64)) for h in ("h1", "h2")]
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), *hashes], ["doc_id", "h1", "h2"])
+        own = [batch.column(c).take(pa.array(rows)) for c in (0, 1)]
+        yield pa.RecordBatch.from_arrays([*own, *hashes], ["doc_id", "hash", "h1", "h2"])
 
 
 # ---- the minimal perfect hash of one shard
@@ -87,11 +91,11 @@ def slots(sizes: np.ndarray, words: np.ndarray, h1: np.ndarray, h2: np.ndarray)
     return found
 
 
-_SHARD = "shard int, sizes binary, words binary, prints binary, counts binary, lasts binary, heavy array<binary>, heavy_lasts array<long>"
+_SHARD = "shard int, sizes binary, words binary, prints binary, counts binary, lasts binary, probes long, heavy array<binary>, heavy_lasts array<long>"
 
 
 def _build_shard(rows: pa.Table, heavy_from: int, min_docs: int) -> pa.Table:
-    h1, h2, n, last = (rows.column(c).to_numpy() for c in ("h1", "h2", "n", "last"))
+    h1, h2, n, held, last = (rows.column(c).to_numpy() for c in ("h1", "h2", "n", "held", "last"))
     h1, h2 = h1.view(np.uint64), h2.view(np.uint64)
     sizes, words = build_hash(h1, h2)
     order = slots(sizes, words, h1, h2)
@@ -99,11 +103,12 @@ def _build_shard(rows: pa.Table, heavy_from: int, min_docs: int) -> pa.Table:
     prints[order] = h2 & np.uint64(0xFFFFFFFF)
     counts[order] = np.minimum(n, 0xFFFFFFFF)
     lasts[order] = last
-    many = (n > heavy_from) & (n >= min_docs)
+    many = (held > heavy_from) & (n >= min_docs)
     keys = np.empty(int(many.sum()), _KEY)
     keys["h1"], keys["h2"] = h1[many], h2[many]
     packed = [[x.tobytes()] for x in (sizes, words, prints, counts, lasts)]
     columns = [pa.array([rows.column("shard")[0].as_py()], pa.int32()), *[pa.array(x, pa.binary()) for x in packed]]
+    columns.append(pa.array([int(held[~many].sum())], pa.int64()))
     columns += [pa.array([[k.tobytes() for k in keys]], pa.list_(pa.binary())), pa.array([last[many].tolist()], pa.list_(pa.int64()))]
     return pa.Table.from_arrays(columns, [c.split()[0] for c in _SHARD.split(", ")])
 
@@ -111,8 +116,12 @@ def _build_shard(rows: pa.Table, heavy_from: int, min_docs: int) -> pa.Table:
 def build_index(lines: DataFrame, n_lines: int, min_docs: int = MIN_DOCS, shard_keys: int = SHARD_KEYS) -> DataFrame:
     """One row of arrays per shard over all distinct hashes of ``lines(doc_id, h1, h2)``."""
     shards = max(1, -(-n_lines // shard_keys))
-    counted = lines.groupBy("h1", "h2").agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.max("doc_id").cast("long"), F.lit(_NO_DOC)).alias("last")
+    # rows of one id are one document, rows without an id are one each
+    by_doc = lines.groupBy("h1", "h2", "doc_id").agg(F.count(F.lit(1)).alias("held"))
+    counted = by_doc.groupBy("h1", "h2").agg(
+        F.sum(F.when(F.col("doc_id").isNull(), F.col("held")).otherwise(1)).alias("n"),
+        F.sum("held").alias("held"),
+        F.coalesce(F.max("doc_id").cast("long"), F.lit(_NO_DOC)).alias("last"),
     )
     counted = counted.withColumn("shard", F.pmod("h1", F.lit(shards)).cast("int"))
     build = partial(_build_shard, heavy_from=n_lines // HEAVY, min_docs=min_docs)
@@ -120,7 +129,7 @@ def build_index(lines: DataFrame, n_lines: int, min_docs: int = MIN_DOCS, shard_
 
 
 def _probe_batches(batches: Iterator[pa.RecordBatch], min_docs: int) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by shard, its arrays first; yields the lines a document has to drop."""
+    """Rows sorted by shard and copy, its arrays first; yields the lines a document has to drop."""
     arrays = None
     for batch in batches:
         kinds = batch.column("kind").to_numpy()
@@ -141,7 +150,8 @@ def _probe_batches(batches: Iterator[pa.RecordBatch], min_docs: int) -> Iterator
             drop = (at >= 0) & (prints[at] == (keys["h2"] & np.uint64(0xFFFFFFFF))) & (counts[at] >= min_docs)
             drop &= (lasts[at] != doc.fill_null(0).to_numpy()) | doc.is_null().to_numpy(zero_copy_only=False)
             marks = pa.array([k.tobytes() for k in keys[drop]], pa.binary())
-            yield pa.RecordBatch.from_arrays([doc.filter(pa.array(drop)), marks], ["doc_id", "mark"])
+            own = [doc.filter(pa.array(drop)), part.column("hash").filter(pa.array(drop))]
+            yield pa.RecordBatch.from_arrays([*own, marks], ["doc_id", "hash", "mark"])
 
 
 def _heavy_batches(batches: Iterator[pa.RecordBatch], heavy: dict[bytes, int], wanted: bool) -> Iterator[pa.RecordBatch]:
@@ -158,10 +168,10 @@ def _heavy_batches(batches: Iterator[pa.RecordBatch], heavy: dict[bytes, int], w
             maybe[maybe] = is_heavy
             yield batch.filter(pa.array(~maybe))
             continue
-        doc = batch.column("doc_id").cast(pa.int64()).filter(pa.array(maybe)).to_pylist()
-        gone = [(d, k) for d, k, yes in zip(doc, keys, is_heavy) if yes and heavy[k] != d]
-        columns = [pa.array([d for d, _ in gone], pa.int64()), pa.array([k for _, k in gone], pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "mark"])
+        own = [batch.column(c).cast(pa.int64()).filter(pa.array(maybe)).to_pylist() for c in ("doc_id", "hash")]
+        gone = [(d, x, k) for d, x, k, yes in zip(*own, keys, is_heavy) if yes and heavy[k] != d]
+        columns = [pa.array([g[i] for g in gone], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.binary()))]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "hash", "mark"])
 
 
 def _rewrite(batches: Iterator[pa.RecordBatch], at: int, min_chars: int, names: list[str]) -> Iterator[pa.RecordBatch]:
@@ -190,15 +200,19 @@ def dedup_lines(
     """``docs`` with repeated lines taken out of ``text``, and ``n_lines``, ``n_dropped``.
 
     A line's key is the line without outer white space, A-Z lower-cased. Keys of ``min_chars`` code
-    points or more that ``min_docs`` rows hold lose all their lines but those of the largest id
-    holding them. Rows that repeat an id count as documents each, and all keep a line that this id
-    may keep. A row with a null id counts, and never is the one that keeps. A null text counts as
+    points or more that ``min_docs`` documents hold lose all their lines but those of the largest id
+    holding them. Rows that repeat an id are one document, and all keep a line that this id may keep.
+    Every row with a null id is a document of its own, and never is the one that keeps. A null text counts as
     empty, has one line and becomes empty. Input columns named like the two counts are replaced;
     ids are integers.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
     lines = checkpointed(
-        arrow_map(documents(docs, doc_id, text), partial(_line_batches, min_chars=min_chars), f"doc_id {kind}, h1 long, h2 long")
+        arrow_map(
+            documents(docs, doc_id, text).select("doc_id", F.xxhash64("text").alias("hash"), "text"),
+            partial(_line_batches, min_chars=min_chars),
+            f"doc_id {kind}, hash long, h1 long, h2 long",
+        )
     )
     n_lines = lines.count()
     index = checkpointed(build_index(lines, n_lines, min_docs, shard_keys))
@@ -207,15 +221,22 @@ def dedup_lines(
     heavy = {bytes(r.heavy): r.heavy_lasts for r in most}
 
     shards = max(1, -(-n_lines // shard_keys))
-    arrays = index.select("shard", F.lit(0).alias("kind"), "sizes", "words", "prints", "counts", "lasts")
-    light = arrow_map(lines, partial(_heavy_batches, heavy=heavy, wanted=False), f"doc_id {kind}, h1 long, h2 long")
-    probes = light.select(F.pmod("h1", F.lit(shards)).cast("int").alias("shard"), F.lit(1).alias("kind"), "doc_id", "h1", "h2")
-    dealt = arrays.unionByName(probes, allowMissingColumns=True).repartition("shard").sortWithinPartitions("shard", "kind")
-    marks = arrow_map(dealt, partial(_probe_batches, min_docs=min_docs), "doc_id long, mark binary")
+    # shards asked more than PROBES times: one row for so many occurrences at most
+    asked = index.where(F.col("probes") > PROBES).select("shard", F.ceil(F.col("probes") / PROBES).cast("int").alias("copies"))
+    asked = F.broadcast(asked)
+    once = F.coalesce("copies", F.lit(1))
+    arrays = index.select("shard", "sizes", "words", "prints", "counts", "lasts").join(asked, "shard", "left")
+    arrays = arrays.withColumn("copy", F.explode(F.sequence(F.lit(0), once - 1))).withColumn("kind", F.lit(0)).drop("copies")
+    light = arrow_map(lines, partial(_heavy_batches, heavy=heavy, wanted=False), f"doc_id {kind}, hash long, h1 long, h2 long")
+    probes = light.withColumn("shard", F.pmod("h1", F.lit(shards)).cast("int")).join(asked, "shard", "left")
+    probes = probes.withColumn("copy", F.pmod(F.xxhash64("doc_id", "hash"), once).cast("int")).withColumn("kind", F.lit(1)).drop("copies")
+    dealt = arrays.unionByName(probes, allowMissingColumns=True).repartition("shard", "copy").sortWithinPartitions("shard", "copy", "kind")
+    made = "doc_id long, hash long, mark binary"
+    marks = arrow_map(dealt, partial(_probe_batches, min_docs=min_docs), made)
     if heavy:
-        marks = marks.union(arrow_map(lines, partial(_heavy_batches, heavy=heavy, wanted=True), "doc_id long, mark binary"))
+        marks = marks.union(arrow_map(lines, partial(_heavy_batches, heavy=heavy, wanted=True), made))
 
     out = StructType([f if f.name != text else StructField(text, StringType()) for f in docs.schema if f.name not in ("n_lines", "n_dropped")])
     out = out.add("n_lines", LongType()).add("n_dropped", LongType())
-    marked = with_marks(docs, doc_id, marks)
+    marked = with_marks(docs, doc_id, text, marks)
     return arrow_map(marked, partial(_rewrite, at=docs.columns.index(text), min_chars=min_chars, names=out.names), out)

@@ -101,18 +101,24 @@ def _numbered(rows: DataFrame, total: int) -> DataFrame:
     """``rows`` with ``place``, counting from 0 in each shard, in the order of ``loose``.
 
     Rows are dealt to stretches by hash, firmly linked ones (``loose`` = 0) with their text; counts
-    per stretch are added up, and only rows of one stretch are numbered together.
+    per stretch are added up, and only rows of one stretch are numbered together. A text with more
+    copies than a stretch has rows takes several of its own, one behind the other.
     """
     stretches = max(1, -(-total // STRETCH_ROWS))
     stretch = F.pmod(F.xxhash64(F.lit(7), "a", "b", F.when(F.col("loose") > 0, F.col("doc_id"))), F.lit(stretches))
-    rows = rows.withColumn("stretch", stretch)
-    counts = rows.groupBy("shard", "loose", "stretch").agg(F.count(F.lit(1)).alias("n"))
+    large = (F.col("loose") == 0) & (F.col("copies") > STRETCH_ROWS)
+    part = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.ceil(F.col("copies") / F.lit(STRETCH_ROWS)))
+    rows = rows.withColumns(
+        {"stretch": stretch, "own": F.when(large, F.xxhash64("a", "b")).otherwise(0), "part": F.when(large, part).otherwise(-1)}
+    )
+    keys = ["shard", "loose", "stretch", "own", "part"]
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     # one window row per shard and stretch
-    running = Window.partitionBy("shard").orderBy("loose", "stretch").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("shard", "loose", "stretch", F.coalesce(F.sum("n").over(running), F.lit(0)).alias("start"))
-    inside = Window.partitionBy("shard", "loose", "stretch").orderBy("a", "b", "doc_id", "size")
+    running = Window.partitionBy("shard").orderBy(*keys[1:]).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*keys, F.coalesce(F.sum("n").over(running), F.lit(0)).alias("start"))
+    inside = Window.partitionBy(*keys).orderBy("a", "b", "doc_id", "size")
     numbered = rows.withColumn("nth", F.row_number().over(inside) - 1)
-    return numbered.join(starts, ["shard", "loose", "stretch"]).withColumn("place", F.col("start") + F.col("nth"))
+    return numbered.join(starts, keys).withColumn("place", F.col("start") + F.col("nth"))
 
 
 def assign_shards(

@@ -63,3 +63,22 @@ def test_odd_tables(spark):
 def test_whole_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     holds_the_law([(r.doc_id, r.text) for r in docs.collect()], sharding.assign_shards(docs).collect())
+
+
+def test_a_text_with_a_tenth_of_all_rows_is_numbered_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "STRETCH_ROWS", 100)
+    rows = [(i, "the same in a tenth of all rows" if i % 10 == 0 else f"text {i // 3}") for i in range(6000)]
+    made = sharding.assign_shards(spark.createDataFrame(rows, "doc_id long, text string"))
+    plan = made._jdf.queryExecution().toString()
+    got = made.collect()
+    by_shard = {}
+    for r in got:
+        by_shard.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(v) == list(range(750)) for v in by_shard.values()) and len(by_shard) == 8
+    assert len({r.shard for r in got if r.doc_id % 10 == 0}) == 1 and plan
+    numbered = sharding._numbered(
+        spark.createDataFrame([(i, 1, 1, 0, 0, 600, 5) for i in range(600)], "doc_id long, a long, b long, shard int, loose int, copies long, size long"), 6000
+    )
+    parts = numbered.groupBy("stretch", "own", "part").count().collect()
+    assert len(parts) == 6 and max(r["count"] for r in parts) < 200
+    assert sorted(r.place for r in numbered.collect()) == list(range(600))
