@@ -134,9 +134,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
       SELECT 0 AS side, doc_id AS id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents
       UNION ALL
       SELECT 1, item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda w: w <> '') FROM benchmark),
+    lengths AS (SELECT DISTINCT least(len(w), 5) AS n FROM split WHERE side = 1 AND len(w) > 0),
     shingles AS (
-      SELECT DISTINCT side, id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS s
-      FROM split WHERE len(w) > 0),
+      SELECT DISTINCT side, id, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS s
+      FROM split, lengths WHERE len(w) >= n AND (side = 0 OR n = least(len(w), 5))),
     sizes AS (SELECT id, count(*) AS n_item FROM shingles WHERE side = 1 GROUP BY 1),
     pairs AS (SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared
               FROM shingles d JOIN shingles i ON d.s = i.s AND d.side = 0 AND i.side = 1 GROUP BY 1, 2)

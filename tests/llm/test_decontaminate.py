@@ -10,15 +10,18 @@ from demandkit.llm import decontaminate
 DOCS, ITEMS = "doc_id long, text string", "item_id long, text string"
 
 
-def shingles(text):
+def shingles(text, lengths=()):
     words = (text or "").lower().split()
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+    own = {tuple(words[i : i + n]) for n in lengths for i in range(len(words) - n + 1)}
+    return own | {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
 
 
 def plain(docs, items, threshold=0.8):
     have, want = {}, {}
+    lengths = {len((t or "").split()) for _, t in items} - {0}
+    lengths = {n for n in lengths if n < 5}
     for d, t in docs:
-        have.setdefault(d, set()).update(shingles(t))
+        have.setdefault(d, set()).update(shingles(t, lengths))
     for i, t in items:
         want.setdefault(i, set()).update(shingles(t))
     out = []
@@ -53,6 +56,13 @@ def test_equals_brute_force(spark, monkeypatch, broadcast):
     assert sorted(map(tuple, made.collect())) == want
 
 
+def test_short_items_inside_longer_documents(spark):
+    docs = [(1, "one two alpha beta gamma three four five six"), (2, "alpha beta"), (3, "beta gamma"), (4, "gamma alpha beta")]
+    items = [(1, "alpha beta gamma"), (2, "Six"), (3, "alpha beta"), (4, "four five six seven")]
+    made = decontaminate.contained_items(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS))
+    assert sorted(map(tuple, made.collect())) == [(1, 1, 1, 1, 1.0), (1, 2, 1, 1, 1.0), (1, 3, 1, 1, 1.0), (2, 3, 1, 1, 1.0), (4, 3, 1, 1, 1.0)]
+
+
 def test_sketch_cannot_be_missed():
     """For every size, an item that keeps the threshold has more shingles than can be absent."""
     for n in range(1, 3000):
