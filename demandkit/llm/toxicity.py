@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from demandkit.llm import gru
-from demandkit.llm.common import arrow_map, documents, hash_sample
+from demandkit.llm.common import arrow_map, checkpointed, documents, hash_sample
 
 WINDOW = 32
 STRIDE = 16
@@ -30,10 +30,10 @@ ROUNDS = 3
 EPOCHS = 3
 THRESHOLD = 0.7
 SEED = 11
-#: Every so many-th document of the sample only calibrates; part of the words whose own vector is hidden in a step.
-CALIBRATE = 5
-SMALL = 1000  # a sample of fewer documents also calibrates on those it learns from
+#: Characters of the sample, shared between the classes as their documents are.
+TRAIN_CHARS = 48_000_000
 STEPS = 90  # per round, at least
+#: Part of the words whose own vector is hidden in a step.
 HIDE_WORDS = 0.3
 _WORD = re.compile(r"\w+")
 _BATCH_CHARS = 1 << 19
@@ -110,13 +110,13 @@ def _log_odds(present: np.ndarray, toxic: int, clean: int) -> np.ndarray:
     return np.clip(odds, -4, 4)
 
 
-def _first_vectors(p: gru.Params, w: Windows, doc_y: np.ndarray, learn: np.ndarray) -> None:
+def _first_vectors(p: gru.Params, w: Windows, doc_y: np.ndarray) -> None:
     """Start each word and n-gram vector at how much more often toxic documents have it."""
-    parts = np.array_split(np.flatnonzero(learn[w.doc]), 16)  # windows of one document may lie in two parts
+    parts = np.array_split(np.arange(len(w.doc)), 16)  # windows of one document may lie in two parts
     pairs = [np.unique((w.doc[x, None] * len(w.known) + w.ids[x])[w.mask[x] > 0]) for x in parts]
     pairs = np.unique(np.concatenate(pairs))
     doc, word = pairs // len(w.known), pairs % len(w.known)
-    counts = [(learn & (doc_y == y)).sum() for y in (1, 0)]
+    counts = [(doc_y == y).sum() for y in (1, 0)]
     present = np.stack([np.bincount(word[doc_y[doc] == y], minlength=len(w.known)) for y in (1, 0)])
     odds = _log_odds(present, *counts)
     seen = w.known > 0
@@ -129,22 +129,18 @@ def _first_vectors(p: gru.Params, w: Windows, doc_y: np.ndarray, learn: np.ndarr
     p["chars"][:, 0] = 0.5 * _log_odds(np.minimum(grams, np.array(counts)[:, None]), *counts)
 
 
-def train(texts: Sequence[str], labels: Sequence[int], rounds: int = ROUNDS, epochs: int = EPOCHS, seed: int = SEED) -> ToxicityModel:
-    """Fit on whole texts with labels 0 and 1."""
-    rng = np.random.default_rng(seed)
-    y = np.asarray(labels, np.int64)
-    learn = rng.permutation(len(y)) % CALIBRATE > 0 if len(y) >= SMALL else np.ones(len(y), bool)
+def _fit(texts: Sequence[str], y: np.ndarray, rounds: int, epochs: int, rng: np.random.Generator) -> tuple[gru.Params, dict[str, int], np.ndarray]:
+    """A network, its vocabulary, and the worst logit of every document."""
     held: dict[str, int] = {}
-    for text, known in zip(texts, learn):
-        for word in set(_WORD.findall(text.lower())) if known else ():
+    for text in texts:
+        for word in set(_WORD.findall(text.lower())):
             held[word] = held.get(word, 0) + 1
     vocabulary = {w: i for i, w in enumerate(sorted(w for w, n in held.items() if n >= 5), 1)}
-    model = ToxicityModel(gru.new_params(rng, len(vocabulary) + 1), vocabulary)
-    if not {0, 1} <= set(y.tolist()):
-        return model
+    p = gru.new_params(rng, len(vocabulary) + 1)
     w = cut(texts, vocabulary)
-    p = model.params
-    _first_vectors(p, w, y, learn)
+    if not {0, 1} <= set(y.tolist()):
+        return p, vocabulary, np.full(len(texts), -np.inf)
+    _first_vectors(p, w, y)
     rows = gru.inputs(p, w.known, w.buckets, w.starts)
     # before the first round a window is as bad as its worst word
     logits = np.where(w.mask > 0, (rows[:, 0] + rows[:, gru.WORD_DIM])[w.ids], np.float32(-9)).max(axis=1)
@@ -155,7 +151,7 @@ def train(texts: Sequence[str], labels: Sequence[int], rounds: int = ROUNDS, epo
         place = np.arange(len(order)) - np.searchsorted(w.doc[order], w.doc[order])
         drawn = rng.random(len(order)) < len(texts) / max(1, len(order))
         clean = y[w.doc[order]] == 0
-        chosen = order[learn[w.doc[order]] & ((place == 0) | clean & ((place < 3) | drawn))]
+        chosen = order[(place == 0) | clean & ((place < 3) | drawn)]
         target = y[w.doc[chosen]].astype(np.float32)
         weight = np.where(target > 0, 0.5 / max(1, target.sum()), 0.5 / max(1, (1 - target).sum())).astype(np.float32)
         weight *= len(target)
@@ -174,9 +170,21 @@ def train(texts: Sequence[str], labels: Sequence[int], rounds: int = ROUNDS, epo
                 )
                 adam.step(p, g)
         logits = window_logits(p, w)
-    worst = _worst(logits, w.doc, len(texts))
-    some = np.isfinite(worst) & (~learn if len(y) >= SMALL else learn)
-    model.scale, model.shift = calibrate(worst[some], y[some])
+    return p, vocabulary, _worst(logits, w.doc, len(texts))
+
+
+def train(texts: Sequence[str], labels: Sequence[int], rounds: int = ROUNDS, epochs: int = EPOCHS, seed: int = SEED) -> ToxicityModel:
+    """Fit on whole texts with labels 0 and 1.
+
+    The network learns from all of them, and what its logits mean is calibrated on the same documents.
+    With one class only nothing is learned.
+    """
+    y = np.asarray(labels, np.int64)
+    params, vocabulary, worst = _fit(texts, y, rounds, epochs, np.random.default_rng(seed))
+    model = ToxicityModel(params, vocabulary)
+    some = np.isfinite(worst)
+    if {0, 1} <= set(y.tolist()) and some.any():
+        model.scale, model.shift = calibrate(worst[some], y[some])
     return model
 
 
@@ -241,20 +249,39 @@ def _score_batches(batches: Iterator[pa.RecordBatch], model: ToxicityModel) -> I
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found), pa.array(windows)], ["doc_id", "score", "n_windows"])
 
 
-def train_on(
+def training_rows(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
-    toxic: int = TRAIN_TOXIC, clean: int = TRAIN_CLEAN,
-) -> ToxicityModel:
-    """Fit on labelled rows that are not held out: at most ``toxic`` and ``clean`` of each class.
-
-    The sample are the ids with the smallest hashes; only these few ids are sent to the documents.
+    toxic: int = TRAIN_TOXIC, clean: int = TRAIN_CLEAN, chars: int = TRAIN_CHARS,
+) -> list[tuple[int, str, int]]:
+    """``(id, text, label)`` of the sample, in order of ids.
+
+    Ids that are not held out are taken by smallest hash, ``toxic`` and ``clean`` of them at most, and a
+    text that would take its class beyond its part of ``chars`` is left out. Of rows with one id the
+    smallest text counts, of several labels the largest; null ids, labels and texts count for nothing.
+    Only these ids go to the documents, and only their lengths are looked at before the choice.
     """
     ids = labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_y")).dropna().where(~held_out(F.col("_id")))
     ids = ids.groupBy("_id").agg(F.max("_y").alias("_y"))
     parts = [hash_sample(ids.where(F.col("_y") == y), ["_id"], n) for y, n in ((1, toxic), (0, clean))]
     chosen = parts[0].union(parts[1])
-    some = documents(docs, doc_id, text).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
-    rows = sorted((r.doc_id, r.text or "", r._y) for r in some.select("doc_id", "text", "_y").collect())
+    # one row for each of some thousand ids
+    some = documents(docs, doc_id, text).dropna().join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+    some = checkpointed(some.groupBy("_id", "_y").agg(F.min("text").alias("text")))
+    left = {1: chars * toxic // max(1, toxic + clean), 0: chars * clean // max(1, toxic + clean)}
+    fits = []
+    for r in some.select("_id", "_y", F.length("text").alias("n")).orderBy(F.xxhash64(F.lit(17), "_id"), "_id").collect():
+        if r.n <= left[r._y]:
+            left[r._y] -= r.n
+            fits.append(r._id)
+    return sorted((r._id, r.text, r._y) for r in some.where(F.col("_id").isin(fits)).collect()) if fits else []
+
+
+def train_on(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", **bounds: int) -> ToxicityModel:
+    """Fit on the driver, on ``training_rows``; without both classes every text scores as clean.
+
+    An empty table, on either side, gives such a model too.
+    """
+    rows = training_rows(docs, labels, doc_id, text, label, **bounds)
     return train([t for _, t, _ in rows], [y for _, _, y in rows])
 
 
@@ -270,7 +297,11 @@ def score_documents(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` whose text scores below ``threshold``, with all their columns."""
+    """The rows of ``docs`` whose text scores below ``threshold``, with all their columns.
+
+    Null and empty texts score as clean and stay. Rows that repeat an id, or have none, are judged each
+    by its own text. An empty table stays empty.
+    """
     at = docs.columns.index(text)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

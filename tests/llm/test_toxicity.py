@@ -103,6 +103,21 @@ def test_training_never_sees_held_out_labels(spark):
     assert all(np.array_equal(a.params[k], b.params[k]) for k in a.params) and (a.scale, a.shift) == (b.scale, b.shift)
 
 
+def test_the_sample_has_one_row_per_id_and_is_bounded_by_characters(spark):
+    texts, labels = made_texts(random.Random(20), 90)
+    rows = list(enumerate(texts)) + [(3, f"repeated {n}") for n in range(10_000)] + [(6, "x" * 100_000), (9, None), (None, "y")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    marked = spark.createDataFrame([*enumerate(labels), (3, 0), (None, 1)], "doc_id long, toxic int")
+    found = toxicity.training_rows(docs, marked)
+    allowed = [i for i in range(90) if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert [i for i, *_ in found] == allowed
+    assert {i: t for i, t, _ in found}[allowed[0]] == texts[allowed[0]]
+    few = toxicity.training_rows(docs, marked, toxic=20, clean=40, chars=9000)
+    for label, most in ((1, 20), (0, 40)):
+        own = [t for _, t, y in few if y == label]
+        assert 0 < len(own) <= most and sum(map(len, own)) <= 9000 * most / 60
+
+
 def test_odd_tables(spark, model):
     rows = [(None, None), (1, ""), (1, ""), (2, " ... "), (3, "x" * 300_000)]
     odd = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit("x") for c in ("score", "toxic", "lang", "_id")})
