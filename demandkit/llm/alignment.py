@@ -7,9 +7,9 @@ of the other, and the order of joins does not matter; so the fragments of very l
 different tasks and joined as a tree. A range may begin and end inside a token: a token belongs to the
 range it ends in.
 
-Tokens are found by units, a space and the word behind it, at whose edges both tokenizers end a token;
-each distinct unit is tokenised and aligned once in a task. A single unit that is longer than a range
-is not cut, because no tokenizer can begin inside it.
+A range is tokenised with the whole units that it touches: a unit is a space and the word behind it, at
+whose edges both tokenizers end a token. A single unit that is longer than a range is not cut, because
+no tokenizer can begin inside it. Many texts or ranges are aligned at once, by numpy.
 
 Links are the pairs of tokens that share a group. Their counts come from one row of distinct pairs for
 each part, a bounded stretch of texts: counts are summed over parts, and go back to a part once.
@@ -41,6 +41,8 @@ PART_BYTES = 16 << 20
 #: Links of one group that are listed one by one; more are counted by pairs of ids.
 _LISTED = 1 << 14
 _LONG_PARTS = 1 << 40
+#: Characters of texts aligned at once.
+_TOGETHER = 1 << 18
 _ROW = "kind int, part long, doc_id long, copies long, n_a long, n_b long, n_groups long, n_links long, groups binary, codes binary, times binary"
 _FRAGMENT = "pre_a binary, pre_b binary, met boolean, closed binary, codes binary, times binary, n_a long, n_b long, n_groups long, n_links long, suf_a binary, suf_b binary, ok boolean"
 
@@ -134,15 +136,14 @@ class Fragment:
 
 
 class Aligner:
-    """Both tokenizers, and what is known of the units met so far."""
+    """Both tokenizers, and the bytes of their tokens."""
 
     def __init__(self, byte_bpe: str = words.BYTE_BPE, piece_bpe: str = words.PIECE_BPE):
-        self.a = words.ByteWords(byte_bpe, plain_specials=True)
+        self.a = words.PlainBytes(byte_bpe)
         self.b = sentencepiece.SentencePieceProcessor(model_file=piece_bpe)
         letters = words.byte_alphabet()
-        size = max(self.a.library.get_vocab().values()) + 1
-        self.bytes_a = [b""] * size
-        for token, i in self.a.library.get_vocab().items():
+        self.bytes_a = [b""] * (max(self.a.vocabulary.values()) + 1)
+        for token, i in self.a.vocabulary.items():
             # added tokens are no byte-level strings; they are never met, as their strings are plain text
             self.bytes_a[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
         self.bytes_b = [self._piece(i) for i in range(self.b.vocab_size())]
@@ -150,121 +151,94 @@ class Aligner:
         # how an id is written before another of its side, and as the last one
         self.written = [b"%d%s" % (i, mark) for x, marks in ((self.bytes_a, b",|"), (self.bytes_b, b",;")) for mark in (marks[:1], marks[1:]) for i in range(len(x))]
         self.written_length = np.array([len(w) for w in self.written], np.int64)
-        self.known: dict[str, tuple] = {}
 
     def _piece(self, i: int) -> bytes:
         if self.b.is_byte(i):
             return bytes([int(self.b.id_to_piece(i)[3:5], 16)])
         return self.b.id_to_piece(i).replace("▁", " ").encode()
 
-    def tokens(self, units: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Ids of each unit on both sides; none where the tokens' bytes are not the unit's."""
-        missing = [u for u in units if u not in self.a.units]
-        if missing:
-            self.a._learn(units)
-        a = [np.frombuffer(self.a.units[u], np.uint16) for u in units]
-        b = [np.array(x, np.uint16) for x in self.b.encode(units, num_threads=1)] if units else []
-        for n, unit in enumerate(units):
-            real = b" " + unit.encode()
-            if b"".join([self.bytes_a[i] for i in a[n].tolist()]) != real or b"".join([self.bytes_b[i] for i in b[n].tolist()]) != real:
-                a[n] = b[n] = _NONE16
-        return a, b
-
-    def learn(self, units: list[str]) -> None:
-        """Align units that are not known yet, all at once; units that do not match stand for nothing."""
-        new = list({u for u in units if u not in self.known})
-        if len(self.known) + len(new) > words.MAX_WORDS:
-            self.known.clear()
-            new = list(set(units))
-        a, b = self.tokens(new)
-        self.a.units.clear()
-        fine = [n for n in range(len(new)) if len(a[n])]
-        void = (b"", b"", 0, 0, 0, 0, False, None)
-        self.known |= {new[n]: void for n in range(len(new)) if not len(a[n])}
+    def tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """Ids of a space and each text on both sides; nothing where the tokens' bytes are others."""
+        made = []
+        for text, ids_b in zip(texts, self.b.encode(texts, num_threads=1) if texts else []):
+            ids_a, real = np.array(self.a.encode(" " + text), np.uint16), b" " + text.encode()
+            # a byte-level vocabulary has every byte: its tokens can but be as long as the text
+            spelt = self.length_a[ids_a].sum() == len(real) and b"".join(map(self.bytes_b.__getitem__, ids_b)) == real
+            made.append((ids_a, np.array(ids_b, np.uint16)) if spelt else None)
+        return made
+
+    def fragments(self, jobs: list[tuple[str, int, int]]) -> list[Fragment]:
+        """For each text, the tokens of a space and it that end after ``skip`` bytes and not after ``upto``; all at once."""
+        found = self.tokens([t for t, *_ in jobs])
+        fine = [n for n, x in enumerate(found) if x is not None]
+        out = [Fragment(met=True, ok=False)] * len(jobs)
         if not fine:
-            return
-        ids_a, ids_b = (np.concatenate([x[n] for n in fine]).astype(np.int64) for x in (a, b))
-        of_a, of_b = (np.repeat(np.arange(len(fine)), [len(x[n]) for n in fine]) for x in (a, b))
-        # both sides cover the same bytes, unit by unit
-        ends_a, ends_b = np.cumsum(self.length_a[ids_a]), np.cumsum(self.length_b[ids_b])
+            return out
+        sides = []
+        for k, lengths in enumerate((self.length_a, self.length_b)):
+            ids = np.concatenate([found[n][k] for n in fine]).astype(np.int64)
+            sides.append((ids, np.cumsum(lengths[ids])))
+        # both sides cover the same bytes, text by text
+        sizes = np.array([len(jobs[n][0].encode()) + 1 for n in fine], np.int64)
+        base = np.cumsum(sizes) - sizes
+        low, high = (base + np.array([jobs[n][k] for n in fine], np.int64) for k in (1, 2))
+        kept = []
+        for ids, ends in sides:
+            job = np.searchsorted(base + sizes, ends, "left")
+            inside = (ends > low[job]) & (ends <= high[job])
+            kept += [ids[inside], ends[inside]]
+        ids_a, ends_a, ids_b, ends_b = kept
         common = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
-        many_a, many_b = np.bincount(group_a, minlength=len(common)), np.bincount(group_b, minlength=len(common))
+        # a range also ends what is open at its end
+        edges = np.union1d(common, high)
+        group_a, group_b = np.searchsorted(edges, ends_a), np.searchsorted(edges, ends_b)
+        many_a, many_b = np.bincount(group_a, minlength=len(edges)), np.bincount(group_b, minlength=len(edges))
         upto_a, upto_b = np.cumsum(many_a), np.cumsum(many_b)
-        unit = of_a[upto_a - 1]
-        # the tokens as written: those of one side, then those of the other, group by group
+        # ids as written: those of one side, then those of the other, group by group
         nth_a, nth_b = np.arange(len(ids_a)), np.arange(len(ids_b))
         order = np.empty(len(ids_a) + len(ids_b), np.int64)
         order[nth_a + (upto_b - many_b)[group_a]] = ids_a + len(self.bytes_a) * (nth_a == upto_a[group_a] - 1)
         order[nth_b + upto_a[group_b]] = 2 * len(self.bytes_a) + ids_b + len(self.bytes_b) * (nth_b == upto_b[group_b] - 1)
         text = b"".join(map(self.written.__getitem__, order.tolist()))
-        counted = [np.bincount(x, minlength=len(fine)) for x in (of_a, of_b, unit)]
-        text_ends = np.cumsum(self.written_length[order])[np.cumsum(counted[0] + counted[1]) - 1].tolist()
+        text_ends = np.concatenate([[0], np.cumsum(self.written_length[order])])[upto_a + upto_b]
         # pairs one by one, but for groups with very many
         links = many_a * many_b
         listed = np.where(links > _LISTED, 0, many_b)[group_a]
         place = np.repeat(np.cumsum(listed) - listed, listed)
         partner = np.arange(len(place)) - place + np.repeat((upto_b - many_b)[group_a], listed)
         codes = np.repeat(ids_a.astype(np.uint32), listed) << np.uint32(16) | ids_b[partner].astype(np.uint32)
-        code_ends = np.cumsum(np.bincount(of_a, listed, len(fine))).astype(np.int64).tolist()
-        n_links = np.zeros(len(fine), np.int64)
-        np.add.at(n_links, unit, links)
-        extra = {}
-        for g in np.flatnonzero(links > _LISTED).tolist():
-            pairs = group_pairs(ids_a[upto_a[g] - many_a[g] : upto_a[g]], ids_b[upto_b[g] - many_b[g] : upto_b[g]])
-            extra.setdefault(int(unit[g]), []).append(pairs)
-        data, low, code_low = codes.tobytes(), 0, 0
-        for k, (n, high, code_high, x, y, z, m) in enumerate(zip(fine, text_ends, code_ends, *(c.tolist() for c in counted), n_links.tolist())):
-            self.known[new[n]] = text[low:high], data[4 * code_low : 4 * code_high], x, y, z, m, True, extra.get(k)
-            low, code_low = high, code_high
-
-    def closed(self, units: list[str]) -> Fragment:
-        """Whole units, as groups that are all closed."""
-        try:
-            found = [self.known[u] for u in units]
-        except KeyError:
-            self.learn(units)
-            found = [self.known[u] for u in units]
-        texts, codes, n_a, n_b, n_groups, n_links, ok, extra = zip(*found) if found else ((),) * 8
-        if not all(ok):
-            return Fragment(met=True, ok=False)
-        once, times = np.unique(np.frombuffer(b"".join(codes), np.uint32), return_counts=True)
-        more = [p for x in extra if x for p in x]
-        if more:
-            once, times = _summed([once, *(c for c, _ in more)], [times, *(t for _, t in more)])
-        return Fragment(met=True, closed=b"".join(texts), codes=once, times=times, n_a=sum(n_a), n_b=sum(n_b), n_groups=sum(n_groups), n_links=sum(n_links))
-
-    def cut(self, unit: str, skip: int, upto: int) -> Fragment:
-        """The tokens of one unit that end after its first ``skip`` bytes and not after its first ``upto``."""
-        (a,), (b,) = self.tokens([unit])
-        if not len(a):
-            return Fragment(ok=False)
-        ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
-        (a, ends_a), (b, ends_b) = ((x[k], e[k]) for x, e in ((a, ends_a), (b, ends_b)) for k in [(e > skip) & (e <= upto)])
-        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        parts = [np.split(x, np.searchsorted(e, common, "right")) for x, e in ((a, ends_a), (b, ends_b))]
-        if not len(common):
-            return Fragment(a, b)
-        groups = [Fragment(x, y, met=True) for x, y in zip(*(p[:-1] for p in parts))]
-        return reduce(Fragment.__add__, groups) + Fragment(parts[0][-1], parts[1][-1])
-
-    def fragment(self, text: str, skip: int, upto: int) -> Fragment:
-        """Of the units in a space and ``text``, the tokens that end in the bytes from ``skip`` to ``upto``."""
-        own = words.units(text)
-        ends = np.cumsum([len(u.encode()) + 1 for u in own])
-        a, b = np.searchsorted(ends, skip, "right"), np.searchsorted(ends, upto, "left")
-        low, high = (int(ends[k - 1]) if k else 0 for k in (a, b))
-        if low < skip and a == b:
-            return self.cut(own[a], skip - low, upto - low)
-        parts = [self.cut(own[a], skip - low, int(ends[a]) - low)] if low < skip else []
-        whole = b + (upto == ends[b])
-        parts.append(self.closed(own[a + len(parts) : whole]))
-        if whole == b:
-            parts.append(self.cut(own[b], 0, upto - high))
-        return reduce(Fragment.__add__, parts)
-
-    def document(self, text: str) -> Fragment:
-        return self.closed(words.units(text)) if text else Fragment(ok=False)
+        code_ends, link_ends = np.cumsum(np.where(links > _LISTED, 0, links)), np.cumsum(links)
+
+        def upto(ends: np.ndarray, g: int) -> int:
+            return int(ends[g - 1]) if g else 0
+
+        first_group, after = np.searchsorted(edges, low, "right"), np.searchsorted(edges, high, "right")
+        met_end = np.isin(high, common)
+        for n, first, last, ended in zip(fine, first_group.tolist(), after.tolist(), met_end.tolist()):
+            begun = jobs[n][1] == 0  # a text begins where tokens of both sides do
+            a, b = first + (not begun), last - (not ended)
+            pre = slice(upto(upto_a, first), upto(upto_a, a)), slice(upto(upto_b, first), upto(upto_b, a))
+            if not begun and a == last and not ended:
+                out[n] = Fragment(ids_a[pre[0]].astype(np.uint16), ids_b[pre[1]].astype(np.uint16))
+                continue
+            suf = slice(upto(upto_a, b), upto(upto_a, last)), slice(upto(upto_b, b), upto(upto_b, last))
+            once, times = np.unique(codes[upto(code_ends, a) : upto(code_ends, b)], return_counts=True)
+            large = [g for g in range(a, b) if links[g] > _LISTED] if upto(code_ends, b) - upto(code_ends, a) < upto(link_ends, b) - upto(link_ends, a) else []
+            if large:
+                more = [group_pairs(ids_a[upto(upto_a, g) : upto_a[g]], ids_b[upto(upto_b, g) : upto_b[g]]) for g in large]
+                once, times = _summed([once, *(c for c, _ in more)], [times, *(t for _, t in more)])
+            out[n] = Fragment(
+                ids_a[pre[0]].astype(np.uint16), ids_b[pre[1]].astype(np.uint16), True,
+                text[upto(text_ends, a) : upto(text_ends, b)], once, times.astype(np.int64),
+                upto(upto_a, b) - upto(upto_a, a), upto(upto_b, b) - upto(upto_b, a), b - a, upto(link_ends, b) - upto(link_ends, a),
+                ids_a[suf[0]].astype(np.uint16), ids_b[suf[1]].astype(np.uint16),
+            )
+        return out
+
+    def documents(self, texts: list[str]) -> list[Fragment]:
+        """Whole texts; empty ones stand for nothing."""
+        made = iter(self.fragments([(t, 0, len(t.encode()) + 1) for t in texts if t]))
+        return [next(made) if t else Fragment(ok=False) for t in texts]
 
 
 def ranges(text: str, size: int = RANGE_BYTES) -> list[tuple[str, int, int]]:
@@ -338,8 +312,19 @@ def _rows_of(found: Iterable[tuple[int | None, int, Fragment, int]], first: int,
 
 def _short(batches: Iterator[pa.RecordBatch], paths: tuple[str, str], part_bytes: int, groups: bool) -> Iterator[pa.RecordBatch]:
     aligner = Aligner(*paths)
-    rows = ((d, t or "") for batch in batches for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
-    yield from _rows_of(((d, 1, aligner.document(t), len(t) + 1) for d, t in rows), 0, part_bytes, groups)
+
+    def found():
+        for batch in batches:
+            ids, texts, low = batch.column(0).to_pylist(), batch.column(1).to_pylist(), 0
+            while low < len(ids):
+                high, size = low, 0
+                while high < len(ids) and size < _TOGETHER:
+                    size, high = size + len(texts[high]), high + 1
+                for doc_id, text, one in zip(ids[low:high], texts[low:high], aligner.documents(texts[low:high])):
+                    yield doc_id, 1, one, len(text) + 1
+                low = high
+
+    yield from _rows_of(found(), 0, part_bytes, groups)
 
 
 def _cut_long(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -353,8 +338,11 @@ def _cut_long(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Recor
 def _fragments(batches: Iterator[pa.RecordBatch], paths: tuple[str, str]) -> Iterator[pa.RecordBatch]:
     aligner = Aligner(*paths)
     for batch in batches:
-        rows = [(r["key"], r["seq"], *aligner.fragment(r["text"], r["skip"], r["upto"]).row()) for r in batch.to_pylist()]
-        yield _batch(rows, f"key binary, seq long, {_FRAGMENT}")
+        rows = batch.to_pylist()
+        for at in range(0, len(rows), 8):
+            some = rows[at : at + 8]
+            made = aligner.fragments([(r["text"], r["skip"], r["upto"]) for r in some])
+            yield _batch([(r["key"], r["seq"], *f.row()) for r, f in zip(some, made)], f"key binary, seq long, {_FRAGMENT}")
 
 
 def _joined(key: tuple, table: pa.Table) -> pa.Table:

@@ -10,19 +10,24 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
+from collections.abc import Callable
 
 import numpy as np
 import public_tokenizers
+import regex
+import tiktoken
 from tokenizers import Tokenizer
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
-#: Words kept at a time; beyond that all are forgotten and learned again.
-MAX_WORDS = 1 << 18
-#: Words encoded in one call.
-_TOGETHER = 4096
+#: Words, and pieces of words, kept at a time; beyond that all are forgotten and learned again.
+MAX_WORDS = 3 << 17
 #: A space within white space, or at its end: a token may reach over it.
 _OVER = re.compile(r"\s \s|\s \Z")
+#: Characters whose classes every library agrees on.
+_LATIN = re.compile(r"[\x00-\u024f]*")
+_STRETCH = 2000
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -33,8 +38,25 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(rest)}
 
 
+class Known(dict):
+    """Learns what is asked for, and forgets all of it at ``MAX_WORDS`` entries."""
+
+    def __init__(self, learn: Callable[[str], bytes]):
+        self.learn = learn
+
+    def __missing__(self, key: str) -> bytes:
+        if len(self) >= MAX_WORDS:
+            self.clear()
+        made = self[key] = self.learn(key)
+        return made
+
+
 class ByteWords:
-    """Ids of texts by a byte-level vocabulary, as bytes of 16-bit numbers."""
+    """Ids of texts by a byte-level vocabulary, as bytes of 16-bit numbers.
+
+    ``units`` has the ids of a space and a word. Words of Latin characters are put together from
+    ``pieces``, the stretches of letters, digits or other signs that the vocabulary's own pattern cuts.
+    """
 
     def __init__(self, path: str = BYTE_BPE, plain_specials: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -44,11 +66,21 @@ class ByteWords:
         self.special = re.compile("|".join(map(re.escape, specials))) if specials else None
         if self.library.get_vocab_size() > 1 << 16:
             raise ValueError(f"{path}: ids do not fit into 16 bits")
-        opens = np.zeros(1 << 16, bool)
-        for token, i in self.library.get_vocab().items():
-            opens[i] = token.startswith("Ġ")
-        self.opens = opens
-        self.units: dict[str, bytes] = {}
+        self.pattern = regex.compile(public_tokenizers.PATTERN)
+        self.letters = {b: c for c, b in byte_alphabet().items()}
+        self.model = self.library.model
+        self.pieces = Known(self._piece)
+        self.units = Known(self._unit)
+
+    def _piece(self, piece: str) -> bytes:
+        found = self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))
+        return array("H", [t.id for t in found]).tobytes()
+
+    def _unit(self, word: str) -> bytes:
+        text = " " + word
+        if not _LATIN.fullmatch(word) or (self.special and self.special.search(word)):
+            return self.whole(text)
+        return b"".join(map(self.pieces.__getitem__, self.pattern.findall(text)))
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint16).tobytes()
@@ -59,32 +91,30 @@ class ByteWords:
             return _SAFE.split(text)
         return text.split(" ")
 
-    def _learn(self, words: list[str]) -> None:
-        new = list({w for w in words if w not in self.units})
-        if len(self.units) + len(new) > MAX_WORDS:
-            self.units.clear()
-            new = list(set(words))
-        firm = [w for w in new if w and w.strip() == w and " " not in w]
-        groups = [firm[i : i + _TOGETHER] for i in range(0, len(firm), _TOGETHER)]
-        for group, found in zip(groups, self.library.encode_batch([" " + " ".join(g) for g in groups], add_special_tokens=False)):
-            ids = np.array(found.ids, np.uint16)
-            starts = np.flatnonzero(self.opens[ids])
-            if len(starts) != len(group):
-                self.units |= {w: self.whole(" " + w) for w in group}
-                continue
-            data, ends = ids.tobytes(), [*(2 * starts[1:]).tolist(), 2 * len(ids)]
-            for word, low, high in zip(group, (2 * starts).tolist(), ends):
-                self.units[word] = data[low:high]
-        self.units |= {w: self.whole(" " + w) for w in new if w not in self.units}
-
     def encode(self, text: str) -> bytes:
         head, *rest = self.parts(text)
-        try:
-            body = b"".join(map(self.units.__getitem__, rest))
-        except KeyError:
-            self._learn(rest)
-            body = b"".join(map(self.units.__getitem__, rest))
-        return (self.whole(head) if head else b"") + body
+        return (self.whole(head) if head else b"") + b"".join(map(self.units.__getitem__, rest))
+
+
+class PlainBytes:
+    """Ids of whole texts by a byte-level vocabulary in which special tokens' strings are plain text.
+
+    The vocabulary's numbers are the order of its merges, so the faster of the two public libraries
+    gives the same ids from them; that one is slow where a text has no white space for long.
+    """
+
+    def __init__(self, path: str = BYTE_BPE):
+        self.library = Tokenizer.from_file(path)
+        self.library.encode_special_tokens = True
+        letters = byte_alphabet()
+        self.vocabulary = self.library.get_vocab()
+        ranks = {bytes(letters[c] for c in t): i for t, i in self.vocabulary.items() if t not in {a.content for a in self.library.get_added_tokens_decoder().values()}}
+        self.fast = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, text: str) -> list[int]:
+        if len(text) > _STRETCH and (max(map(len, text.split()), default=_STRETCH) >= _STRETCH or any(c * _STRETCH in text for c in " \n\t")):
+            return self.library.encode(text, add_special_tokens=False).ids
+        return self.fast.encode_ordinary(text)
 
 
 def units(text: str) -> list[str]:

@@ -90,8 +90,8 @@ def written(groups):
 
 
 def test_documents_equal_whole_texts(tokenizers, aligner):
-    for text in [*texts(1, 3000), "a▁b", " ", "\n", "  ", "x ", " x"]:
-        made = aligner.document(text)
+    rows = [*texts(1, 3000), "a▁b", "", " ", "\n", "  ", "x ", " x"]
+    for text, made in zip(rows, aligner.documents(rows)):
         assert (made.closed if made.ok else b"") == written(plain_groups(tokenizers, text)), repr(text)
 
 
@@ -101,7 +101,7 @@ def test_fragments_are_a_monoid(tokenizers, aligner):
     met = 0
     for text in texts(3, 400, 60):
         cut = al.ranges(text, rnd.choice([1, 2, 5, 9, 30]))
-        made = [aligner.fragment(*c) for c in cut]
+        made = aligner.fragments(cut)
         met += sum(f.met for f in made)
         want = written(plain_groups(tokenizers, text))
         left = reduce(al.Fragment.__add__, made).whole()
@@ -111,7 +111,7 @@ def test_fragments_are_a_monoid(tokenizers, aligner):
         tree = made[0].whole()
         assert tree.ok and tree.closed == left.closed == want, repr(text)
         assert (tree.codes == left.codes).all() and (tree.times == left.times).all()
-        direct = aligner.document(text)
+        direct = aligner.documents([text])[0]
         assert (direct.codes == tree.codes).all() and (direct.times == tree.times).all()
         assert (tree.n_a, tree.n_b, tree.n_groups, tree.n_links) == (direct.n_a, direct.n_b, direct.n_groups, direct.n_links)
     assert met > 500
@@ -124,7 +124,7 @@ def test_ranges_inside_one_unit(tokenizers, aligner):
         unit = "".join(rnd.choice(["internation", "alisat", "ion", "12345", "!?", "語言", "\n", "don't", "é🙂"]) for _ in range(rnd.randint(1, 5)))
         size = len(unit.encode()) + 1
         cuts = sorted(rnd.sample(range(1, size), min(size - 1, rnd.randint(1, 8))))
-        made = [aligner.cut(unit, low, high) for low, high in zip([0, *cuts], [*cuts, size])]
+        made = aligner.fragments([(unit, low, high) for low, high in zip([0, *cuts], [*cuts, size])])
         open_ones += sum(not f.met and len(f.pre_a) + len(f.pre_b) > 0 for f in made)
         right = reduce(lambda x, y: y + x, reversed(made)).whole()
         assert right.ok and right.closed == reduce(al.Fragment.__add__, made).whole().closed == written(plain_groups(tokenizers, unit))
@@ -132,7 +132,7 @@ def test_ranges_inside_one_unit(tokenizers, aligner):
 
 
 def test_rows_of_fragments_come_back(aligner):
-    made = aligner.fragment("internationalisation and more", 3, 24)
+    (made,) = aligner.fragments([("internationalisation and more", 3, 24)])
     names = [c.split()[0] for c in al._FRAGMENT.split(", ")]
     back = al.Fragment.of(dict(zip(names, made.row())))
     assert back.row() == made.row()
@@ -140,9 +140,9 @@ def test_rows_of_fragments_come_back(aligner):
 
 def test_groups_with_very_many_links(aligner, monkeypatch):
     text = " ".join(texts(4, 50))
-    whole = aligner.document(text)
+    (whole,) = aligner.documents([text])
     monkeypatch.setattr(al, "_LISTED", 1)
-    counted = al.Aligner().document(text)
+    (counted,) = aligner.documents([text])
     assert (counted.codes == whole.codes).all() and (counted.times == whole.times).all() and counted.n_links == whole.n_links
 
 
