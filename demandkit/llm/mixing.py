@@ -22,7 +22,7 @@ IDS = 1 << 16
 SLOTS = 12
 #: Log 2 of the code space that all ids share, and of order 0's own scale within its part.
 SPACE, SCALE = 28, 20
-CLASSES = 256
+CLASSES = 128
 #: After how many ids counts of classes become space of classes; from the last on, again and again.
 RENEW = (32, 64, 128, 256)
 _WORD = np.uint64(32)
