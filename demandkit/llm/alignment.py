@@ -37,12 +37,12 @@ RANGE_BYTES = 1 << 15
 #: Fragments joined by one task in one round.
 FAN = 8
 #: Bytes of text in one part, whose distinct pairs are sent together.
-PART_BYTES = 16 << 20
+PART_BYTES = 8 << 20
 #: Links of one group that are listed one by one; more are counted by pairs of ids.
 _LISTED = 1 << 14
 _LONG_PARTS = 1 << 40
 #: Characters of texts aligned at once.
-_TOGETHER = 1 << 18
+_TOGETHER = 1 << 16
 _ROW = "kind int, part long, doc_id long, copies long, n_a long, n_b long, n_groups long, n_links long, groups binary, codes binary, times binary"
 _FRAGMENT = "pre_a binary, pre_b binary, met boolean, closed binary, codes binary, times binary, n_a long, n_b long, n_groups long, n_links long, suf_a binary, suf_b binary, ok boolean"
 
