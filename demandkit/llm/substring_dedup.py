@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
-from xxhash import xxh3_128_digest, xxh64_digest
+from xxhash import xxh3_128_digest, xxh64_intdigest
 
 from demandkit.llm.common import arrow_map, documents, texts, unused
 from demandkit.session import new_folder
@@ -41,12 +41,18 @@ _KEY = np.dtype([("h1", "<i8"), ("h2", "<i4")])
 
 def places(words: list[bytes], window: int = PIECE) -> list[int]:
     """Where the words say a sentence is cut: before the last smallest hash of each ``window`` words."""
-    if len(words) <= window:
-        return []
-    hashes = np.frombuffer(b"".join(map(xxh64_digest, words)), ">u8")
-    # from the back, so that the last of equal hashes is found
-    behind = np.lib.stride_tricks.sliding_window_view(hashes[:0:-1], window).argmin(axis=1)
-    return np.unique(len(words) - 1 - np.arange(len(behind)) - behind).tolist()
+    # sentences are short: a loop is faster than arrays here
+    hashes = list(map(xxh64_intdigest, words))
+    found, at = [], 0
+    for low in range(1, len(words) - window + 1):
+        high = low + window
+        if at < low:
+            at = min(range(high - 1, low - 1, -1), key=hashes.__getitem__)
+        elif hashes[high - 1] <= hashes[at]:
+            at = high - 1
+        if not found or found[-1] != at:
+            found.append(at)
+    return found
 
 
 def sentences(text: bytes, longest: int = PIECE) -> tuple[list[int], list[list[bytes]]]:
