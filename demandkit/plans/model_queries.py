@@ -593,7 +593,7 @@ def m10_stump(spark, sf):
     return scores.select("fold", "n", rounded("rmse", "rmse"))
 
 
-@query("m9_early_stopping")
+@query("m9_stopping_by_tolerance")
 def m9(spark, sf):
     """Rows before the cut train, rows after it decide when boosting stops."""
     train, test = _cut(tree_rows(spark, sf))
@@ -614,7 +614,7 @@ def _forest(params):
     return fit
 
 
-@query("m10_early_stopping_in_folds")
+@query("m10_stopping_by_tolerance_in_folds")
 def m10_early_stopping(spark, sf):
     """Boosting that stops in every fold by the rows of that fold: rounds and error per fold."""
 
