@@ -105,14 +105,13 @@ def _level(state: DataFrame, trees: DataFrame, level: int, models: int) -> DataF
     cuts = cuts.where((F.col("_wl") >= F.col("min_rows")) & (F.col("_wr") >= F.col("min_rows")) & (F.col("_wl") > 0) & (F.col("_wr") > 0))
     cuts = cuts.withColumn("gain", F.round(score("_gl", "_wl") + score("_gr", "_wr") - score("_g", "_w"), 6)).where("gain > 0")
     value = {side: F.col("rate") * F.col(f"_g{side}") / (F.col(f"_w{side}") + F.col("penalty")) for side in "lr"}
-    best = F.max(F.struct("gain", (-F.col("feature")).alias("f"), (-F.col("bin")).alias("b"), value["l"].alias("low"), value["r"].alias("high"), F.col("leaves") - F.col("now")))
+    best = F.max(F.struct("gain", (-F.col("feature")).alias("f"), (-F.col("bin")).alias("b"), value["l"].alias("low"), value["r"].alias("high"), (F.col("leaves") - F.col("now")).alias("room")))
     found = cuts.groupBy("model", "node").agg(best.alias("s")).select("model", "node", "s.*")
     # of a model's open nodes, at most as many as it has leaves
-    by_gain = Window.partitionBy("model").orderBy(F.col("gain").desc(), "node")
-    room = found.columns[-1]
-    found = found.withColumn("place", F.row_number().over(by_gain)).where(F.col("place") <= F.col(room))
-    split = F.struct("node", (-F.col("f")).alias("feature"), (-F.col("b")).alias("bin"), "low", "high", "gain")
-    splits = found.groupBy("model").agg(F.array_sort(F.collect_list(split)).alias("splits"))
+    split = F.struct((-F.col("gain")).alias("worse"), "node", (-F.col("f")).alias("feature"), (-F.col("b")).alias("bin"), "low", "high", "gain")
+    splits = found.groupBy("model").agg(F.array_sort(F.collect_list(split)).alias("splits"), F.greatest(F.max("room"), F.lit(0)).alias("room"))
+    in_order = F.array_sort(F.transform(F.slice("splits", F.lit(1), F.col("room")), lambda x: F.struct(*[x[c].alias(c) for c in ("node", "feature", "bin", "low", "high", "gain")])))
+    splits = splits.select("model", in_order.alias("splits"))
     grown = trees.join(splits, "model", "left")
     # the k-th split node gets the leaves 2k and 2k + 1 behind the nodes so far
     renewed = f"""transform(nodes, (x, i) -> coalesce(
@@ -120,8 +119,8 @@ def _level(state: DataFrame, trees: DataFrame, level: int, models: int) -> DataF
             t -> named_struct('feature', t.s.feature, 'bin', t.s.bin, 'left', cast(size(nodes) + 2 * t.k as int),
                               'right', cast(size(nodes) + 2 * t.k + 1 as int), 'value', cast(0 as double), 'gain', t.s.gain)), 0), x))"""
     leaves = f"flatten(transform(splits, s -> array({_LEAF.format(value='s.low')}, {_LEAF.format(value='s.high')})))"
-    more = F.expr(f"if(splits is null, nodes, concat(cast({renewed} as array<{_NODE}>), cast({leaves} as array<{_NODE}>)))")
-    opened = F.expr("if(splits is null, cast(array() as array<int>), sequence(size(nodes), size(nodes) + 2 * size(splits) - 1))")
+    more = F.expr(f"if(splits is null or size(splits) = 0, nodes, concat(cast({renewed} as array<{_NODE}>), cast({leaves} as array<{_NODE}>)))")
+    opened = F.expr("if(splits is null or size(splits) = 0, cast(array() as array<int>), sequence(size(nodes), size(nodes) + 2 * size(splits) - 1))")
     return checkpointed(grown.withColumns({"open": opened, "nodes": more}).drop("splits"))
 
 

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from demandkit.operators.joins import lookup_join
+from demandkit.session import checkpointed
 
 STRETCH_ROWS = 100_000
 
@@ -85,35 +86,17 @@ def with_position(df: DataFrame, series: Series, name: str = "position") -> Data
     """1-based row number within each series."""
     if series.daily:
         return df.withColumn(name, F.row_number().over(series.window()).cast("long"))
-    # structs are never null, so plain equality also matches null keys and times, and the
-    # numbering and the join below share one partitioning by (key, second)
-    key = F.struct(*series.keys)
-    second = F.struct(F.date_trunc("second", F.col(series.ts)))
-    day = F.struct(F.date_trunc("day", F.col(series.ts)))
-    per_second = df.groupBy(key.alias("_sk"), day.alias("_day"), second.alias("_ss")).agg(
-        F.count(F.lit(1)).alias("_c")
-    )
-    per_day = per_second.groupBy("_sk", "_day").agg(F.sum("_c").alias("_dc"))
-    days = Window.partitionBy("_sk").orderBy("_day")
-    seconds = Window.partitionBy("_sk", "_day").orderBy("_ss")
-    day_starts = per_day.select(
-        F.col("_sk").alias("_dk"),
-        F.col("_day").alias("_dd"),
-        _sum_before("_dc", days).alias("_day_start"),
-    )
-    starts = (
-        per_second.withColumn("_in_day", _sum_before("_c", seconds))
-        .join(day_starts, (F.col("_sk") == F.col("_dk")) & (F.col("_day") == F.col("_dd")))
-        .select("_sk", "_ss", (F.col("_in_day") + F.col("_day_start")).alias("_start"))
-    )
-    inner = Window.partitionBy("_k", "_second").orderBy(*series.order)
-    numbered = df.withColumns({"_k": key, "_second": second}).withColumn(
-        "_rn", F.row_number().over(inner)
-    )
-    placed = numbered.join(
-        starts, (F.col("_k") == F.col("_sk")) & (F.col("_second") == F.col("_ss"))
-    )
-    return placed.select(*df.columns, (F.col("_rn") + F.col("_start")).cast("long").alias(name))
+    # ranges of (key, time, ties) are sorted where they lie; rows of one time are spread like others
+    ranged = df.repartitionByRange(*series.keys, *series.order).sortWithinPartitions(*series.keys, *series.order)
+    ranged = checkpointed(ranged.withColumn("_at", F.monotonically_increasing_id()))
+    # structs are never null, so plain equality also matches null keys
+    key, part = F.struct(*series.keys), F.shiftright("_at", 33)
+    counts = ranged.groupBy(key.alias("_sk"), part.alias("_sp")).agg(F.count(F.lit(1)).alias("_c"), F.min("_at").alias("_first"))
+    # one row for each range that a key lies in
+    ranges = Window.partitionBy("_sk").orderBy("_sp")
+    starts = counts.select("_sk", "_sp", (_sum_before("_c", ranges) - F.col("_first")).alias("_start"))
+    placed = ranged.withColumns({"_k": key, "_p": part}).join(starts, (F.col("_k") == F.col("_sk")) & (F.col("_p") == F.col("_sp")))
+    return placed.select(*df.columns, (F.col("_at") + F.col("_start") + 1).cast("long").alias(name))
 
 
 def _sum_before(count: str, w: WindowSpec) -> Column:

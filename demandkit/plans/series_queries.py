@@ -144,6 +144,21 @@ def w8(spark, sf):
     )
 
 
+@query(
+    "w8_positions_of_one_instant",
+    """
+    SELECT l_returnflag, l_orderkey, l_linenumber,
+           row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber) AS position
+    FROM lineitem
+    """,
+)
+def w8_instant(spark, sf):
+    """All rows of a key at one time: the ties alone order and spread them."""
+    rows = table(spark, sf, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", F.lit("1995-01-01").cast("timestamp").alias("ts"))
+    lines = series.Series(("l_returnflag",), "ts", daily=False, ties=("l_orderkey", "l_linenumber"))
+    return series.with_position(rows, lines).drop("ts")
+
+
 _EVENT_SERIES = series.Series(("event_type",), "ts", daily=False, ties=("event_id",))
 
 

@@ -88,3 +88,21 @@ def test_holdout_is_repeatable(spark):
     again = ids.repartition(7).select("id", folds.holdout_flag(F.col("id")).alias("out"))
     assert flagged.exceptAll(again).count() == 0
     assert 0.17 < flagged.agg(F.avg("out")).first()[0] < 0.23
+
+
+def test_rows_of_one_instant_are_spread(spark, monkeypatch):
+    """A key with all rows, all at one time: its rows lie in many ranges, none much larger than a fair share."""
+    n = 20_000
+    rows = spark.range(n).select(F.lit("k").alias("k"), F.lit("2024-01-01").cast("timestamp").alias("ts"), (F.col("id") * 7919 % n).alias("tie"))
+    kept = []
+    inner = series.checkpointed
+    monkeypatch.setattr(series, "checkpointed", lambda df: kept.append(inner(df)) or kept[-1])
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = series.with_position(rows, series.Series(("k",), "ts", daily=False, ties=("tie",)))
+        assert [(r.tie, r.position) for r in placed.orderBy("tie").collect()] == [(i, i + 1) for i in range(n)]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    shares = [r["count"] for r in kept[0].groupBy(F.shiftright("_at", 33).alias("part")).count().collect()]
+    assert len(shares) >= 6 and max(shares) < 0.3 * n

@@ -116,3 +116,50 @@ def test_capped_stream_raises_instead_of_losing_rows(spark, tmp_path, cap):
     events = daily.read_stream(spark, str(tmp_path / "table"), max_files=cap)
     stream = daily.daily_demand_stream(events, "ts", ["k"], "1 day")
     assert spark.read.parquet(daily.run_available(stream, "daily", allow_late=True)).count() > 0
+
+
+def test_late_rows_amend_their_day_and_replays_count_once(spark, tmp_path):
+    start = dt.datetime(2024, 1, 1)
+    rows = [(i, "ab"[i % 2], start + dt.timedelta(hours=i * 7919 % 480)) for i in range(600)]
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    df = spark.createDataFrame(rows, "id long, k string, ts timestamp")
+    for n in range(3):  # every delivery has rows of every day
+        df.where(F.col("id") % 3 == n).write.mode("append").parquet(source)
+        daily.amend_days(spark.readStream.schema(df.schema).parquet(source), "ts", ["k"], out)
+        so_far = daily_series(df.where(F.col("id") % 3 <= n), "ts", ["k"])
+        got = daily.amended_days(spark, out, ["k"])
+        assert got.exceptAll(so_far).count() == 0 and so_far.exceptAll(got).count() == 0
+    # the last batch runs again, as after a failure between its write and its commit
+    for name in ("2", ".2.crc"):
+        (tmp_path / "out" / "state" / "commits" / name).unlink()
+    daily.amend_days(spark.readStream.schema(df.schema).parquet(source), "ts", ["k"], out)
+    got = daily.amended_days(spark, out, ["k"])
+    assert got.exceptAll(so_far).count() == 0 and so_far.exceptAll(got).count() == 0
+
+
+def test_days_in_any_order_within_the_delay(spark, tmp_path):
+    rng = random.Random(3)
+    days = [(k, dt.date(2024, 1, 1) + dt.timedelta(days=d), rng.randrange(50)) for k in "abc" for d in range(24)]
+    schema = "k string, ds date, y long"
+    names = ["lag_1", "lag_5", "rolling_mean_5", "rolling_std_5", "lag_diff"]
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    dealt = {}
+    for row in days:
+        dealt.setdefault(((row[1] - dt.date(2024, 1, 1)).days + rng.randrange(3)) // 6, []).append(row)
+    for n in sorted(dealt):  # each delivery is a run of its own, from the checkpoint of the one before
+        rng.shuffle(dealt[n])
+        spark.createDataFrame(dealt[n], schema).repartition(3).write.mode("append").parquet(source)
+        stream = daily.ordered_feature_stream(spark.readStream.schema(schema).parquet(source), "k", names, "4 days")
+        with daily.rocksdb_state(spark):
+            daily.run_available(stream, "ordered", out=out)
+    got = spark.read.parquet(f"{out}/data")
+    whole = add_series_features(spark.createDataFrame(days, schema), Series(("k",)), "y", names)
+    wanted = whole.where(F.col("ds") <= F.lit(dt.date(2024, 1, 24) - dt.timedelta(days=4)))
+    shown = lambda df: sorted(
+        str((r["k"], r["ds"], float(r["y"]), *[None if r[n] is None else round(float(r[n]), 9) for n in names])) for r in df.collect()
+    )
+    assert shown(got) == shown(wanted)
+    spark.createDataFrame([("a", dt.date(2024, 1, 2), 1)], schema).write.mode("append").parquet(source)
+    stream = daily.ordered_feature_stream(spark.readStream.schema(schema).parquet(source), "k", names, "4 days")
+    with daily.rocksdb_state(spark), pytest.raises(daily.LateRows):
+        daily.run_available(stream, "ordered", out=out)
