@@ -125,7 +125,8 @@ def compare_feature_sets(
         parts.append(
             fold_summary(folds).select(F.lit(name).alias("model"), F.lit(i).alias("listed"), "*")
         )
-    return compare_models(reduce(DataFrame.unionByName, parts), next(iter(sets)))
+    # a row per set; the baseline is read from it once more
+    return compare_models(checkpointed(reduce(DataFrame.unionByName, parts)), next(iter(sets)))
 
 
 def ridge_path(

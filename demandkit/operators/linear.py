@@ -13,6 +13,8 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from demandkit.operators.folds import block_of, fold_cuts
@@ -20,10 +22,9 @@ from demandkit.operators.joins import attach_row, lookup_join
 from demandkit.session import checkpointed
 
 
-# Beyond this many features the products are formed by numpy per Arrow batch: hundreds of
-# separate sum aggregates cost more than moving the rows to Python workers.
+# Beyond this many features the products are added up as one vector: hundreds of separate sum
+# aggregates do not compile into one loop any more.
 WIDE = 12
-_HELD_GROUPS = 2000
 
 # per-column numbers, a one-row frame holding them, or None for the means of the rows
 Origin = Mapping[str, float] | DataFrame | None
@@ -87,46 +88,21 @@ def _plain_sums(moved: DataFrame, d: int, by: Sequence[str]) -> DataFrame:
 
 
 def _wide_sums(moved: DataFrame, d: int, by: Sequence[str]) -> DataFrame:
-    """The same sums from one matrix product per batch and group, merged by Spark.
-
-    A task holds the products of a limited number of groups and passes them on when there
-    are more; the final aggregate adds up whatever parts a group was split into.
-    """
-    by, width = list(by), d + 2
-    values = [f"_x{i}" for i in range(d)] + ["_y"]
-
-    def parts(held: dict) -> pd.DataFrame:
-        out = pd.DataFrame(list(held), columns=by, dtype=object if by else None)
-        return out.assign(m=[m.ravel() for m in held.values()])
-
-    def multiply(batches):
-        held: dict = {}
-        for pdf in batches:
-            z = np.column_stack([np.ones(len(pdf)), pdf[values].to_numpy(dtype=float)])
-            places = pdf.groupby(by, sort=False, dropna=False).indices if by else {(): slice(None)}
-            for key, at in places.items():
-                key = key if isinstance(key, tuple) else (key,)
-                held[key] = held.get(key, 0.0) + z[at].T @ z[at]
-            if len(held) > _HELD_GROUPS:
-                yield parts(held)
-                held = {}
-        if held:
-            yield parts(held)
-
-    keyed = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in moved.schema if f.name in by)
-    multiplied = moved.select(*[c for c in moved.columns if c in by], *values).mapInPandas(
-        multiply, keyed + "m array<double>"
-    )
+    """The same sums as one vector aggregate over the packed products of each row."""
+    z = [F.lit(1.0), *[F.col(f"_x{i}") for i in range(d)], F.col("_y")]
+    packed = {pair: n for n, pair in enumerate(_pairs(d + 2))}
+    products = array_to_vector(F.array(*[z[i] * z[j] for i, j in packed]))
+    added = moved.select(*by, products.alias("_z")).groupBy(*by).agg(vector_to_array(Summarizer.sum(F.col("_z"))).alias("_m"))
 
     def entry(i: int, j: int) -> Column:
-        return F.sum(F.get("m", F.lit(i * width + j)))
+        return F.get("_m", F.lit(packed[i, j]))
 
     # row 0 is the constant, rows 1 to d the features, the last one the target
-    sums = [entry(0, 0).alias("n"), entry(0, d + 1).alias("sy"), entry(d + 1, d + 1).alias("syy")]
+    sums = [F.round(entry(0, 0)).alias("n"), entry(0, d + 1).alias("sy"), entry(d + 1, d + 1).alias("syy")]
     sums += [entry(0, i + 1).alias(f"sx_{i}") for i in range(d)]
     sums += [entry(i + 1, d + 1).alias(f"sxy_{i}") for i in range(d)]
     sums += [entry(i + 1, j + 1).alias(f"sxx_{i}_{j}") for i, j in _pairs(d)]
-    return multiplied.groupBy(*by).agg(*sums)
+    return added.select(*by, *sums)
 
 
 def expanding_sums(

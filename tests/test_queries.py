@@ -37,7 +37,7 @@ def test_every_twin_belongs_to_a_query():
     assert set(NAMES) <= set(entry_module.queries())
 
 
-# only the linear solver, wide matrix products and the stream state start Python workers
+# only the linear solver and the stream state start Python workers
 PYTHON_ALLOWED = re.compile(r"m3_|m4_|m6_|m1[0-6]_|m18_recursive_forecast_fitted|m21_|x\d_|m[789]_")
 
 
