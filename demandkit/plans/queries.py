@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from demandkit.operators.groups import group_stats
 from demandkit.operators.series import add_series_features
-from demandkit.plans import aggregate_queries, model_queries, scalar_queries, series_queries, stream_queries, tree_queries  # noqa: F401
+from demandkit.plans import aggregate_queries, category_queries, model_queries, scalar_queries, series_queries, stream_queries, tree_queries  # noqa: F401
 from demandkit.plans.catalogue import QUERIES, TWINS, query
 from demandkit.plans.derived import DEMAND, DEMAND_SQL, demand
 
