@@ -169,7 +169,7 @@ def read_file(source, size: int, lanes: int = LANES) -> Iterator[tuple[int | Non
 
 
 def _write_part(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, block: int, lanes: int) -> Iterator[pa.RecordBatch]:
-    encode = words.ByteWords(tokenizer).encode
+    encode = words.byte_words(tokenizer).encode_all
     context = TaskContext.get()
     writer = None
     store, root = _open(folder)
@@ -178,8 +178,8 @@ def _write_part(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str,
         if batch.num_rows and writer is None:
             store.create_dir(root, recursive=True)
             writer = Writer(store.open_output_stream(f"{name}.{context.taskAttemptId()}.tmp"), block, lanes)
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            writer.add(doc_id, encode(text or ""))
+        for doc_id, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1))):
+            writer.add(doc_id, ids)
     if writer is not None:
         writer.close()
         store.move(f"{name}.{context.taskAttemptId()}.tmp", f"{name}.ids")

@@ -7,10 +7,11 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 from demandkit.llm import mixing, queries, token_files as tf, words
 
@@ -75,6 +76,41 @@ def test_words_equal_the_library(library):
         assert np.frombuffer(plain_ones.encode(text), "<u2").tolist() == other.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_words_are_learned_many_at_a_time(library, monkeypatch):
+    """Texts at once equal the library, with few calls of it, also where what was learned is forgotten."""
+    rnd = random.Random(8)
+    bits = ["a", "Bee", "don't", "'s", " ", " ", " ", "  ", "\n", " \n", "\t", "\u3000", "\x1c", "\x85", "é", "ɏ", "ɐ", "語", "12", "²", "!?", "<|endoftext|>", "\x00", "🙂"]
+    texts = ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 14))) for _ in range(3000)]
+    texts += [None, "", " ", *(" ".join("".join(rnd.choices("aeinrstu.,", k=9)) for _ in range(200)) for _ in range(100))]
+    other = Tokenizer.from_file(words.BYTE_BPE)
+    other.encode_special_tokens = True
+    for plain_specials, own in ((False, library), (True, other)):
+        ours, calls = words.ByteWords(words.BYTE_BPE, plain_specials), []
+        asked = ours._library
+        ours._library = lambda texts, by=None: calls.append(len(texts)) or asked(texts, by)
+        right = [own.encode(t or "", add_special_tokens=False).ids for t in texts]
+        got = ours.encode_all(pa.array(texts))
+        assert [np.frombuffer(ids, "<u2").tolist() for ids in got] == right
+        assert len(calls) <= 3 and len(ours.words) > 15000  # first words of texts, new pieces, words that are not Latin
+        monkeypatch.setattr(words, "_AT_ONCE", 5000)
+        monkeypatch.setattr(words, "MAX_WORDS", 1000)
+        monkeypatch.setattr(words, "MAX_PIECES", 700)
+        assert [np.frombuffer(ids, "<u2").tolist() for ids in ours.encode_all(pa.array(texts))] == right
+        assert len(ours.words) < 15000
+        monkeypatch.undo()
+    assert words.byte_words(words.BYTE_BPE) is words.byte_words(words.BYTE_BPE)
+
+
+def test_words_of_a_vocabulary_without_all_bytes(tmp_path):
+    """Its missing bytes give no ids."""
+    own = Tokenizer(models.BPE({"Ġ": 0, "a": 1, "b": 2, "Ġa": 3}, [("Ġ", "a")]))
+    own.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    own.save(path := str(tmp_path / "few.json"))
+    texts = ["a ab xa. abba", "x", " é b a", "bxb xxx ba"]
+    got = words.ByteWords(path).encode_all(pa.array(texts))
+    assert [np.frombuffer(ids, "<u2").tolist() for ids in got] == [own.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def written(docs, block, lanes):
     out = io.BytesIO()
     out.close_ = out.close
